@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from demandcast.config import SKU, ForecastConfig, TreeParams
 from demandcast.operators.features import add_history, baseline
-from demandcast.operators.panel import clean_sales, dense_panel, panel_start, weekly_totals
+from demandcast.operators.panel import clean_sales, dense_panel, panel_start, weekly_totals, yoy_eligible
+from demandcast.sources.storage import Storage
 
 KEYS = list(SKU)
 AS_OF = date(2000, 9, 4)
@@ -56,6 +57,11 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly_totals(clean_sales(sales(spark, sf_dir)))
 
 
+def stored_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as a stored table, for queries that read it many times."""
+    return Storage(spark).table("weekly", weekly(spark, sf_dir))
+
+
 def weekly_before(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel as it was known on ``AS_OF``."""
     return weekly(spark, sf_dir).where(F.col("week_start") < F.lit(AS_OF))
@@ -100,7 +106,5 @@ def one_step(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def some_yoy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Year-over-year eligibility, switched off for odd chains so that fallbacks are used too."""
-    from demandcast.operators.panel import yoy_eligible
-
     known = yoy_eligible(weekly_before(spark, sf_dir), AS_OF)
     return known.withColumn("use_yoy", F.col("use_yoy") & (F.col("chain_id") % 2 == 0))

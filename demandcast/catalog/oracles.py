@@ -20,8 +20,8 @@ def d(day) -> str:
     return f"DATE '{day.isoformat()}'"
 
 
-def r(expression: str) -> str:
-    return f"round({expression}, 6) + 0.0"
+def r(expression: str, digits: int = 6) -> str:
+    return f"round({expression}, {digits}) + 0.0"
 
 
 def shrink(value: str, bounds: tuple[float, float, float]) -> str:
@@ -335,19 +335,16 @@ NAMED = {
     "seasonal": f"""
         SELECT {K}, week_start, ci AS chain_szn_index, si AS sku_szn_index, pi_ AS prod_season_index,
                m * ci AS month_chain_szn, m * si AS month_sku_szn, m * pi_ AS month_prod_season
-        FROM (SELECT chain_id, store_id, product_id, week_start, CAST(month(week_start) AS DOUBLE) AS m,
+        FROM (SELECT w.chain_id, w.store_id, w.product_id, w.week_start, CAST(w.month AS DOUBLE) AS m,
                      CASE WHEN cw.weeks >= 26 AND c.szn_index IS NOT NULL THEN c.szn_index
                           ELSE coalesce(g.szn_index, 1.0) END AS ci,
                      coalesce(s.szn_index, c.szn_index, g.szn_index, 1.0) AS si, coalesce(p.szn_index, 1.0) AS pi_
-              FROM weekly w
-              LEFT JOIN chain_weeks cw USING (chain_id)
-              LEFT JOIN (SELECT chain_id, month AS cm, szn_index FROM idx_chain) c
-                  ON w.chain_id = c.chain_id AND month(week_start) = cm
-              LEFT JOIN (SELECT month AS gm, szn_index FROM idx_global) g ON month(week_start) = gm
-              LEFT JOIN (SELECT chain_id, product_id, month AS sm, szn_index FROM idx_sku) s
-                  ON w.chain_id = s.chain_id AND w.product_id = s.product_id AND month(week_start) = sm
-              LEFT JOIN (SELECT product_id, season AS ps, szn_index FROM idx_product) p
-                  ON w.product_id = p.product_id AND {season("month(week_start)")} = ps)""",
+              FROM (SELECT *, month(week_start) AS month FROM weekly) w
+              LEFT JOIN chain_weeks cw ON w.chain_id = cw.chain_id
+              LEFT JOIN idx_chain c ON w.chain_id = c.chain_id AND w.month = c.month
+              LEFT JOIN idx_global g ON w.month = g.month
+              LEFT JOIN idx_sku s ON w.chain_id = s.chain_id AND w.product_id = s.product_id AND w.month = s.month
+              LEFT JOIN idx_product p ON w.product_id = p.product_id AND {season("w.month")} = p.season)""",
     "directions": f"""
         SELECT chain_id, season,
                CASE WHEN bool_or(prev = 0) THEN 1 WHEN avg(t / nullif(prev, 0) - 1) > 0.05 THEN 1
@@ -445,8 +442,8 @@ def _index(name: str, keys: str) -> str:
     return _sql(f"SELECT {keys}, {r('szn_index')} AS szn_index FROM {name} WHERE sold")
 
 
-def _forecast(rows: str) -> str:
-    return _sql(f"SELECT {K}, week_start, {r('forecast')} AS forecast FROM ({rows})")
+def _forecast(rows: str, digits: int = 6) -> str:
+    return _sql(f"SELECT {K}, week_start, {r('forecast', digits)} AS forecast FROM ({rows})")
 
 
 def backtest_sql() -> str:
@@ -648,15 +645,15 @@ def oracles() -> dict[str, str]:
             f"""SELECT {K}, a.week_start, {r("any_value(a.actual - a.pred_base)")} AS residual,
                        {r('''CASE WHEN count(*) >= 3 THEN
                            sum((b.actual - b.pred_base) * pow(7 / 9.0, date_diff('day', b.week_start, a.week_start) / 7))
-                           / sum(pow(7 / 9.0, date_diff('day', b.week_start, a.week_start) / 7)) END''')} AS resid_ewma
+                           / sum(pow(7 / 9.0, date_diff('day', b.week_start, a.week_start) / 7)) END''', 8)} AS resid_ewma
                 FROM scored a JOIN scored b USING ({K})
                 WHERE a.week_start < {d(AS_OF)} AND b.week_start <= a.week_start
                 GROUP BY {K}, a.week_start"""
         ),
         "confidence": _sql(f"SELECT {K}, {r('confidence')} AS confidence FROM ({ewma_of('scored')})"),
         "confidence_series": _sql(
-            f"""SELECT {K}, week_start, {r('''least(greatest(0.6 * CASE WHEN n >= 3 THEN share END
-                       + 0.4 * least(total / 52.0, 1.0), 0.0), 1.0)''')} AS confidence
+            f"""SELECT {K}, week_start, {r('''CASE WHEN n >= 3 THEN least(greatest(0.6 * share
+                       + 0.4 * least(total / 52.0, 1.0), 0.0), 1.0) END''')} AS confidence
                 FROM (SELECT *, count(*) OVER w AS n,
                              avg(CASE WHEN weekly_total > 0 THEN 1.0 ELSE 0.0 END) OVER w AS share,
                              count(*) OVER (PARTITION BY {K}) AS total
@@ -689,7 +686,8 @@ def oracles() -> dict[str, str]:
                FROM (SELECT *, sum(forecast) OVER g AS total,
                             coalesce(sum(forecast) FILTER (WHERE actual > 0) OVER g, 0) AS locked,
                             coalesce(sum(forecast) FILTER (WHERE NOT actual > 0) OVER g, 0) AS free
-                     FROM scored WINDOW g AS (PARTITION BY chain_id, week_start))"""
+                     FROM scored WINDOW g AS (PARTITION BY chain_id, week_start))""",
+            8,
         ),
         "cap_chain_week": _forecast(week_capped_of("inflated", "some_yoy")),
         "cap_sku_yoy": _forecast(sku_capped_of("inflated", "some_yoy")),

@@ -22,6 +22,7 @@ from demandcast.catalog.inputs import (
     sales,
     scored,
     some_yoy,
+    stored_weekly,
     weekly,
     weekly_before,
 )
@@ -29,9 +30,9 @@ from demandcast.functions.calendar import to_date_key
 from demandcast.operators import adjust, caps, metrics, panel, seasonality
 from demandcast.operators import features as feat
 from demandcast.operators import model as trees
-from demandcast.operators.recursion import build_state, recursive_forecast, rolling_mean_predictor
-from demandcast.plans.backtest import backtest
-from demandcast.plans.forecast import forecast, with_seasonal_columns
+from demandcast.operators.recursion import build_state, fold_forecast, model_forecast, rolling_mean
+from demandcast.plans import backtest
+from demandcast.plans.forecast import forecast
 from demandcast.sources.history import history_before_run, history_upsert
 from demandcast.sources.sales import norm_columns, read_sales_csv
 from demandcast.sources.sinks import final_output, replace_window, upload_projection
@@ -325,15 +326,10 @@ def baseline_forecast(spark, sf_dir):
     return rounded(scored_rows.select(*KEYS, "week_start", "pred_base"), "pred_base")
 
 
-def _profiles(spark, sf_dir):
-    rows = weekly(spark, sf_dir)
-    return seasonality.sku_profiles(rows, AS_OF, panel.panel_start(rows), CFG)
-
-
 @query
 def features(spark, sf_dir):
     """All features of the observed weeks."""
-    rows = weekly(spark, sf_dir)
+    rows = stored_weekly(spark, sf_dir)
     start = panel.panel_start(rows)
     inputs = trees.sku_inputs(rows, seasonality.sku_profiles(rows, AS_OF, start, CFG))
     out = trees.feature_frame(rows, start, inputs, CFG).select(*KEYS, "week_start", *feat.FEATURES)
@@ -388,7 +384,7 @@ def szn_product(spark, sf_dir):
 
 @query
 def szn_features(spark, sf_dir):
-    rows = weekly(spark, sf_dir)
+    rows = stored_weekly(spark, sf_dir)
     profiles = seasonality.sku_profiles(rows, AS_OF, panel.panel_start(rows), CFG)
     return rounded(seasonality.add_seasonality(rows, profiles).drop("weekly_total"), *feat.SEASONAL)
 
@@ -406,7 +402,7 @@ def season_direction(spark, sf_dir):
 def recursive_baseline(spark, sf_dir):
     rows = weekly(spark, sf_dir)
     state = build_state(rows, [AS_OF], panel.panel_start(rows), CFG)
-    out = recursive_forecast(state, CFG.horizon_weeks, rolling_mean_predictor, AS_OF, CFG)
+    out = fold_forecast(state, CFG.horizon_weeks, rolling_mean)
     return rounded(out.drop("origin"), "pred_model", "pred_base", "pred_final")
 
 
@@ -414,7 +410,7 @@ def recursive_baseline(spark, sf_dir):
 def backtest_baseline(spark, sf_dir):
     """Error of six origins, four weeks apart, in one job."""
     rows = weekly(spark, sf_dir)
-    out = backtest(rows, BACKTEST_ORIGINS, panel.panel_start(rows), CFG)
+    out = backtest.backtest(rows, BACKTEST_ORIGINS, panel.panel_start(rows), CFG)
     errors = metrics.wape(out, ["origin"])
     sizes = out.groupBy("origin").agg(F.count("*").alias("forecasts"), F.sum("actual").alias("actual"))
     return rounded(errors.join(sizes, "origin"), "wape")
@@ -462,7 +458,7 @@ def resid_ewma_series(spark, sf_dir):
     fitted = scored(spark, sf_dir).where(F.col("week_start") < F.lit(AS_OF))
     fitted = fitted.select(*KEYS, "week_start", F.col("actual").alias("weekly_total"), F.col("pred_base").alias("y_hat"))
     out = adjust.smoothed_residuals(fitted, CFG)
-    return rounded(out.select(*KEYS, "week_start", "residual", "resid_ewma"), "residual", "resid_ewma")
+    return out.select(*KEYS, "week_start", r6("residual").alias("residual"), F.round("resid_ewma", 8).alias("resid_ewma"))
 
 
 @query
@@ -506,7 +502,8 @@ def reconcile(spark, sf_dir):
     """Unlocked rows take up a target 10 % above each chain-week's total."""
     rows = scored(spark, sf_dir)
     targets = panel.chain_week_totals(rows, "forecast").withColumn("target", F.col("forecast") * 1.1)
-    return _forecast_only(caps.reconcile(rows, targets))
+    # eight digits: at six, exact ties would hang on the order of summation
+    return caps.reconcile(rows, targets).select(*KEYS, "week_start", F.round("forecast", 8).alias("forecast"))
 
 
 @query
@@ -601,9 +598,9 @@ def bias_table(spark, sf_dir):
 
 
 def _stored_features(spark, sf_dir):
-    rows = weekly(spark, sf_dir)
-    start = panel.panel_start(rows)
     storage = Storage(spark)
+    rows = storage.table("weekly", weekly(spark, sf_dir))
+    start = panel.panel_start(rows)
     inputs = storage.table("inputs", trees.sku_inputs(rows, seasonality.sku_profiles(rows, AS_OF, start, CFG)))
     return storage.table("features", trees.feature_frame(rows, start, inputs, CFG)), inputs, rows, start
 
@@ -629,29 +626,22 @@ def lambda_scores(spark, sf_dir):
     return trees.lambda_scores(_stored_features(spark, sf_dir)[0], AS_OF, CFG)
 
 
-def _model_backtest(rows, inputs, panel_rows, start, origin):
-    """Forecast from one origin with a model trained on what was known then."""
-    model = trees.train_for_cutoff(rows, origin, CFG.recency_default, CFG)
-    predictor = with_seasonal_columns(lambda frame, week: trees.predict(model, frame))
-    state = build_state(panel_rows, [origin], start, CFG).join(inputs, KEYS)
-    return recursive_forecast(state, CFG.horizon_weeks, predictor, origin, CFG)
-
-
 @query
 def recursive_model(spark, sf_dir):
-    return _model_backtest(*_stored_features(spark, sf_dir), AS_OF)
+    """Four weeks from the origin with a model trained on what was known then."""
+    rows, inputs, panel_rows, start = _stored_features(spark, sf_dir)
+    model = trees.train_for_cutoff(rows, AS_OF, CFG.recency_default, CFG)
+    state = build_state(panel_rows, [AS_OF], start, CFG).join(inputs, KEYS)
+    return model_forecast(state, CFG.horizon_weeks, trees.state_predictor(lambda week: model), AS_OF, CFG)
 
 
 @query
 def backtest_model(spark, sf_dir):
     """Error of two origins, each with its own model."""
     rows, inputs, panel_rows, start = _stored_features(spark, sf_dir)
-    errors = []
-    for origin in BACKTEST_ORIGINS[:2]:
-        forecasts = _model_backtest(rows, inputs, panel_rows, start, origin)
-        compared = panel.assemble_output(forecasts, panel_rows).withColumn("forecast", F.col("pred_final"))
-        errors.append(metrics.wape(compared, ["origin"]))
-    return errors[0].unionByName(errors[1])
+    origins = BACKTEST_ORIGINS[:2]
+    out = backtest.backtest_model(panel_rows, rows, inputs, origins, start, CFG.recency_default, CFG)
+    return metrics.wape(out, ["origin"])
 
 
 # --- the whole forecast ----------------------------------------------------------------------
@@ -664,7 +654,7 @@ def _known_sales(spark, sf_dir):
 @query
 def forecast_run(spark, sf_dir):
     """Batch forecast of 16 past and 4 future weeks, with the 12-week mean in place of the model."""
-    out = forecast(_known_sales(spark, sf_dir), RUN_START, CFG, online=False, predictor=rolling_mean_predictor)
+    out = forecast(_known_sales(spark, sf_dir), RUN_START, CFG, online=False, rule=rolling_mean)
     return rounded(out, "pred_model", "pred_base")
 
 

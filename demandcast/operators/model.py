@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
 
@@ -158,15 +158,29 @@ def model_month(week: date) -> date:
     return (week - timedelta(days=1)).replace(day=1)
 
 
-def tree_predictor(models: Mapping[date, PipelineModel | None], features: Sequence[str] = FEATURES) -> Predictor:
-    """Predictor that uses the model of each week's month, or the baseline if there is none."""
-    def score(rows: DataFrame, week: date) -> DataFrame:
-        model = models.get(model_month(week))
-        return rows.withColumn("pred_model", baseline()) if model is None else predict(model, rows, features)
+def state_predictor(
+    model_of: Callable[[date | None], PipelineModel | None], features: Sequence[str] = FEATURES
+) -> Predictor:
+    """Predictor for the recursion: ``model_of`` names the model of a week, None means the baseline.
+
+    The state carries each SKU's seasonal profile, from which the week's indices are taken.
+    """
+    seasonal = seasonal_columns(F.col("month"), F.col("season"))
+
+    def score(rows: DataFrame, week: date | None) -> DataFrame:
+        model = model_of(week)
+        if model is None:
+            return rows.withColumn("pred_model", baseline())
+        return predict(model, rows.withColumns(seasonal), features)
 
     return score
 
 
+def tree_predictor(models: Mapping[date, PipelineModel | None]) -> Predictor:
+    """Predictor that uses the model of each week's month, or the baseline if there is none."""
+    return state_predictor(lambda week: models.get(model_month(week)))
+
+
 def lambda_scores(
     rows: DataFrame, as_of: date, cfg: ForecastConfig = ForecastConfig(), holdout: bool = False
 ) -> DataFrame:

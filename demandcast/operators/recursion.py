@@ -1,8 +1,9 @@
 """Recursive multi-week forecast: each predicted week feeds the lags of later weeks.
 
 A SKU's state is one row that holds its last 52 weeks as an array. A step reads lags from the
-array, predicts, and appends the prediction, so steps are narrow projections: one shuffle
-builds the state and none follows, whatever the horizon.
+array, predicts, and appends the prediction: one shuffle builds the state and none follows,
+whatever the horizon. Predictors that are column expressions run as one fold over the horizon
+(``fold_forecast``); fitted models run as one narrow projection per step (``model_forecast``).
 """
 
 from __future__ import annotations
@@ -14,20 +15,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.config import SKU, ForecastConfig
-from demandcast.functions.calendar import month_no, week_no, week_no_of
+from demandcast.functions.calendar import monday_of_no, month_no, week_no, week_no_of
+from demandcast.functions.numeric import first_positive
 from demandcast.operators.features import baseline, calendar_columns, mean_of, sample_std_of
 from demandcast.operators.panel import dense_rule
 
 KEYS = list(SKU)
 STATE_WEEKS = 52
 
-# Adds ``pred_model`` to a frame that has the features of one week.
-Predictor = Callable[[DataFrame, date], DataFrame]
+# Prediction from a struct with ``lag_1w, lag_2w, lag_3w, lag_52w`` and ``roll12w``.
+Rule = Callable[[Column], Column]
+# Adds ``pred_model`` to a frame that has all features of one week.
+Predictor = Callable[[DataFrame, date | None], DataFrame]
 
 
-def rolling_mean_predictor(rows: DataFrame, week: date) -> DataFrame:
+def rolling_mean(features: Column) -> Column:
     """Stand-in model: the 12-week mean."""
-    return rows.withColumn("pred_model", F.coalesce("roll12w", F.lit(0.0)))
+    return F.coalesce(features["roll12w"], F.lit(0.0))
 
 
 def build_state(
@@ -55,7 +59,7 @@ def build_state(
     # an origin may be a Sunday; its first forecast week is the Monday on or after it
     age = F.col("origin_no") - F.col("no")
     first_no = week_no_of(start)
-    month_of_origin = month_no(F.date_add(F.lit(date(1970, 1, 5)), F.col("origin_no") * 7))
+    month_of_origin = month_no(monday_of_no(F.col("origin_no")))
     months_back = month_of_origin - F.col("month")
     past = [F.sum(F.when(age == k, F.col("x"))).alias(f"_w{k}") for k in range(STATE_WEEKS, 0, -1)]
     state = facts.groupBy(*KEYS, "origin_no").agg(
@@ -87,77 +91,135 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def state_features(state: DataFrame) -> DataFrame:
-    """History features of the week after the state's last one."""
-    hist = F.col("hist")
-    last = lambda n: F.filter(F.slice(hist, STATE_WEEKS - n + 1, n), lambda v: v.isNotNull())
-    lags = [F.col("lag_1w"), F.col("lag_2w"), F.col("lag_3w")]
-    base = state.withColumns(
-        {
-            **{f"lag_{n}w": F.get(hist, F.lit(STATE_WEEKS - n)) for n in (1, 2, 3, 52)},
-            "_last_12": last(12),
-            "_last_6": last(6),
-        }
+def _known(hist: Column, n: int) -> Column:
+    """Last ``n`` entries without the padding before the panel's start."""
+    return F.filter(F.slice(hist, STATE_WEEKS - n + 1, n), lambda v: v.isNotNull())
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _chosen(is_dense: Column, model: Column, base: Column) -> Column:
+    """Value fed back: the model's for dense SKUs, the baseline's for sparse ones."""
+    return F.greatest(F.when(is_dense, model).otherwise(base), F.lit(0.0))
+
+
+def _prediction(week: Column, model: Column, base: Column, final: Column) -> Column:
+    return F.struct(
+        week.cast("int").alias("no"), model.alias("pred_model"), base.alias("pred_base"), final.alias("pred_final")
     )
-    sums = base.withColumns(
-        {
-            "_sum_12": _total(F.col("_last_12")),
-            "nonzero_12w": F.size(F.filter("_last_12", lambda v: v > 0)).cast("long"),
-        }
+
+
+NO_PREDICTIONS = "array<struct<no:int,pred_model:double,pred_base:double,pred_final:double>>"
+
+
+def _rows(states: DataFrame, predictions: Column) -> DataFrame:
+    """One row per SKU, origin and week."""
+    # outer: a plain explode makes the optimizer push "not empty" down through all steps, which
+    # nests their expressions into one filter; the array always has an entry per step
+    rows = states.select(*KEYS, "origin_no", "is_dense", F.explode_outer(predictions).alias("_row"))
+    return rows.select(
+        *KEYS,
+        monday_of_no(F.col("origin_no")).alias("origin"),
+        monday_of_no(F.col("_row.no")).alias("week_start"),
+        "is_dense",
+        "_row.pred_model",
+        "_row.pred_base",
+        "_row.pred_final",
     )
-    return sums.withColumns(
-        {
-            "roll3w": mean_of(lags),
-            "roll12w": F.try_divide(F.col("_sum_12"), F.size("_last_12")),
-            "avg_nonzero_12w": F.coalesce(F.try_divide(F.col("_sum_12"), F.col("nonzero_12w")), F.lit(0.0)),
-            "volatility_3w": sample_std_of(lags),
-            "zero_run_length_6w": F.size(F.filter("_last_6", lambda v: v == 0)),
-            "diff_1w": F.col("lag_1w") - F.col("lag_2w"),
-            "diff_2w": F.col("lag_2w") - F.col("lag_3w"),
-        }
-    ).drop("_last_12", "_last_6", "_sum_12")
-
-
-def recursive_forecast(
+
+
+def fold_forecast(state: DataFrame, steps: int, rule: Rule = rolling_mean) -> DataFrame:
+    """Predict ``steps`` weeks from each origin with a column expression as the model.
+
+    The steps are a fold over the horizon inside one projection, so the plan is the same for any
+    horizon. Actuals of forecast weeks never enter the lags.
+    """
+
+    def step(acc: Column, i: Column) -> Column:
+        hist = acc["hist"]
+        lags = [F.get(hist, F.lit(STATE_WEEKS - n)).alias(f"lag_{n}w") for n in (1, 2, 3, 52)]
+        roll12w = _let(_known(hist, 12), lambda v: F.try_divide(_total(v), F.size(v)))
+        predicted = _let(
+            F.struct(*lags, roll12w.alias("roll12w")),
+            lambda f: F.struct(
+                rule(f).alias("model"),
+                first_positive(*[f[c] for c in ("lag_52w", "lag_3w", "lag_2w", "lag_1w", "roll12w")]).alias("base"),
+            ),
+        )
+        row = _let(
+            predicted,
+            lambda p: _prediction(
+                F.col("origin_no") + i, p["model"], p["base"], _chosen(F.col("is_dense"), p["model"], p["base"])
+            ),
+        )
+        return _let(
+            row,
+            lambda p: F.struct(
+                F.concat(F.slice(hist, 2, STATE_WEEKS - 1), F.array(p["pred_final"])).alias("hist"),
+                F.concat(acc["out"], F.array(p)).alias("out"),
+            ),
+        )
+
+    empty = F.struct(F.col("hist").alias("hist"), F.array().cast(NO_PREDICTIONS).alias("out"))
+    folded = F.aggregate(F.sequence(F.lit(0), F.lit(steps - 1)), empty, step, lambda acc: acc["out"])
+    return _rows(state, folded)
+
+
+def _feature_stages(cfg: ForecastConfig) -> list[dict[str, Column]]:
+    """Columns of the week after the state's last one, in stages that build on each other."""
+    hist = F.col("hist")
+    lags = [F.col("lag_1w"), F.col("lag_2w"), F.col("lag_3w")]
+    first = {f"lag_{n}w": F.get(hist, F.lit(STATE_WEEKS - n)) for n in (1, 2, 3, 52)}
+    first |= {"_last_12": _known(hist, 12), "_last_6": _known(hist, 6), "week_start": monday_of_no(F.col("week_no"))}
+    second = {
+        "_sum_12": _total(F.col("_last_12")),
+        "nonzero_12w": F.size(F.filter("_last_12", lambda v: v > 0)).cast("long"),
+        "roll3w": mean_of(lags),
+        "volatility_3w": sample_std_of(lags),
+        "zero_run_length_6w": F.size(F.filter("_last_6", lambda v: v == 0)),
+        "diff_1w": F.col("lag_1w") - F.col("lag_2w"),
+        "diff_2w": F.col("lag_2w") - F.col("lag_3w"),
+        "weeks_since_last_sale": F.coalesce(F.col("week_no") - F.col("last_sale_no"), F.lit(0)),
+        **calendar_columns(F.col("week_start"), cfg),
+    }
+    third = {
+        "roll12w": F.try_divide(F.col("_sum_12"), F.size("_last_12")),
+        "avg_nonzero_12w": F.coalesce(F.try_divide(F.col("_sum_12"), F.col("nonzero_12w")), F.lit(0.0)),
+    }
+    return [first, second, third]
+
+
+def model_forecast(
     state: DataFrame,
     steps: int,
-    predictor: Predictor = rolling_mean_predictor,
+    predictor: Predictor,
     first_week: date | None = None,
     cfg: ForecastConfig = ForecastConfig(),
 ) -> DataFrame:
-    """Predict ``steps`` weeks from each origin and return one row per SKU, origin and week.
+    """Predict ``steps`` weeks from each origin with a fitted model.
 
-    The value fed back is the model's for dense SKUs and the baseline's for sparse ones; actuals
-    of forecast weeks never enter the lags. ``first_week`` is the first forecast Monday where
-    all origins agree on it; a predictor that changes by calendar month needs it.
+    ``first_week`` is the first forecast Monday where all origins agree on it; a predictor that
+    changes by calendar month needs it. Column expressions are built once and reused by each step.
     """
-    carried = [c for c in state.columns if c not in ("hist", "last_sale_no")]
-    current = state.withColumn("_out", F.array().cast("array<struct<step:int,pred_model:double,pred_base:double,pred_final:double>>"))
+    carried = [F.col(c) for c in state.columns if c not in ("hist", "last_sale_no")]
+    stages = _feature_stages(cfg)
+    base = baseline()
+    final = _chosen(F.col("is_dense"), F.col("pred_model"), F.col("pred_base"))
+    row = _prediction(F.col("week_no"), F.col("pred_model"), F.col("pred_base"), F.col("pred_final"))
+    advance = [
+        F.concat(F.slice("hist", 2, STATE_WEEKS - 1), F.array("pred_final")).alias("hist"),
+        F.when(F.col("pred_final") > 0, F.col("week_no")).otherwise(F.col("last_sale_no")).alias("last_sale_no"),
+        F.concat("_out", F.array(row)).alias("_out"),
+        (F.col("week_no") + 1).alias("week_no"),
+    ]
+    current = state.withColumns({"week_no": F.col("origin_no"), "_out": F.array().cast(NO_PREDICTIONS)})
     for step in range(steps):
-        current = state_features(current.withColumn("week_no", F.col("origin_no") + step))
-        current = current.withColumn("week_start", F.date_add(F.lit(date(1970, 1, 5)), F.col("week_no") * 7))
-        current = current.withColumns(calendar_columns(F.col("week_start"), cfg)).withColumn(
-            "weeks_since_last_sale", F.coalesce(F.col("week_no") - F.col("last_sale_no"), F.lit(0))
-        )
+        for stage in stages:
+            current = current.withColumns(stage)
         week = first_week + timedelta(weeks=step) if first_week else None
-        scored = predictor(current, week).withColumn("pred_base", baseline())
-        final = F.greatest(F.when(F.col("is_dense"), F.col("pred_model")).otherwise(F.col("pred_base")), F.lit(0.0))
-        scored = scored.withColumn("pred_final", final)
-        row = F.struct(F.lit(step).alias("step"), "pred_model", "pred_base", "pred_final")
-        current = scored.select(
-            *carried,
-            F.concat(F.slice("hist", 2, STATE_WEEKS - 1), F.array("pred_final")).alias("hist"),
-            F.when(F.col("pred_final") > 0, F.col("week_no")).otherwise(F.col("last_sale_no")).alias("last_sale_no"),
-            F.concat("_out", F.array(row)).alias("_out"),
-        )
-    rows = current.select(*KEYS, "origin_no", "is_dense", F.explode("_out").alias("_row"))
-    monday = F.date_add(F.lit(date(1970, 1, 5)), (F.col("origin_no") + F.col("_row.step")) * 7)
-    return rows.select(
-        *KEYS,
-        F.date_add(F.lit(date(1970, 1, 5)), F.col("origin_no") * 7).alias("origin"),
-        monday.alias("week_start"),
-        "is_dense",
-        "_row.pred_model",
-        "_row.pred_base",
-        "_row.pred_final",
-    )
+        scored = predictor(current, week).withColumn("pred_base", base).withColumn("pred_final", final)
+        current = scored.select(*carried, *advance)
+    return _rows(current, F.col("_out"))

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.config import SKU, ForecastConfig
+from demandcast.operators.model import state_predictor, train_for_cutoff
 from demandcast.operators.panel import assemble_output
-from demandcast.operators.recursion import Predictor, build_state, recursive_forecast, rolling_mean_predictor
+from demandcast.operators.recursion import Rule, build_state, fold_forecast, model_forecast, rolling_mean
 
 KEYS = list(SKU)
 
@@ -20,15 +22,36 @@ def backtest(
     origins: Sequence[date],
     start: date,
     cfg: ForecastConfig = ForecastConfig(),
-    predictor: Predictor = rolling_mean_predictor,
+    rule: Rule = rolling_mean,
 ) -> DataFrame:
     """Forecast ``horizon_weeks`` from every origin in one job.
 
-    Origins are a column of the state, so their number does not change the plan. The predictor
-    must not depend on the calendar month; use one call per origin where each has its own model.
+    Origins are a column of the state, so their number does not change the plan. Fitted models
+    differ by origin: for those see ``backtest_model``.
     """
-    state = build_state(weekly, origins, start, cfg)
-    first_week = origins[0] if len(origins) == 1 else None
-    forecasts = recursive_forecast(state, cfg.horizon_weeks, predictor, first_week, cfg)
+    forecasts = fold_forecast(build_state(weekly, origins, start, cfg), cfg.horizon_weeks, rule)
     rows = assemble_output(forecasts, weekly)
     return rows.withColumn("forecast", F.col("pred_final"))
+
+
+def backtest_model(
+    weekly: DataFrame,
+    features: DataFrame,
+    inputs: DataFrame,
+    origins: Sequence[date],
+    start: date,
+    lam: float,
+    cfg: ForecastConfig = ForecastConfig(),
+) -> DataFrame:
+    """Forecast from every origin with a model trained on the weeks before it.
+
+    ``features`` is the stored feature frame of the observed weeks, ``inputs`` has what is fixed
+    per SKU (see ``sku_inputs``).
+    """
+    forecasts = []
+    for origin in origins:
+        model = train_for_cutoff(features, origin, lam, cfg)
+        state = build_state(weekly, [origin], start, cfg).join(inputs, KEYS)
+        forecasts.append(model_forecast(state, cfg.horizon_weeks, state_predictor(lambda week: model), origin, cfg))
+    rows = assemble_output(reduce(DataFrame.unionByName, forecasts), weekly)
+    return rows.withColumn("forecast", F.col("pred_final"))

@@ -27,8 +27,8 @@ from demandcast.operators.panel import (
     keep_chains,
     yoy_eligible,
 )
-from demandcast.operators.recursion import Predictor, build_state, recursive_forecast
-from demandcast.operators.seasonality import season_direction, seasonal_columns, sku_profiles
+from demandcast.operators.recursion import Predictor, Rule, build_state, fold_forecast, model_forecast
+from demandcast.operators.seasonality import season_direction, sku_profiles
 from demandcast.sources.history import empty_forecast
 from demandcast.sources.sinks import final_output, save_model, upload_projection, write_replace_window
 from demandcast.sources.storage import Storage
@@ -98,7 +98,7 @@ def forecast(
     cfg: ForecastConfig = ForecastConfig(),
     online: bool = True,
     window_end: str | date | None = None,
-    predictor: Predictor | None = None,
+    rule: Rule | None = None,
     history: DataFrame | None = None,
     date_as_int: bool = False,
     model_folder: str | None = None,
@@ -106,9 +106,9 @@ def forecast(
 ) -> DataFrame:
     """Forecast every eligible SKU for the window's weeks.
 
-    ``sales`` has ``chain_id, store_id, product_id, sale_date, qty``. Without ``predictor``,
-    boosted trees are fitted per calendar month of the window. ``history`` holds forecasts of
-    earlier runs. Weeks up to the last actual are returned as predicted; later ones are blended,
+    ``sales`` has ``chain_id, store_id, product_id, sale_date, qty``. Without ``rule``,
+    boosted trees are fitted per calendar month of the window; with it, that column expression is
+    the model. ``history`` holds forecasts of earlier runs. Weeks up to the last actual are returned as predicted; later ones are blended,
     anchored, nudged, reconciled, capped and smoothed, in that order.
 
     The panel, the raw forecasts and the state between adjustments are stored tables of the
@@ -130,15 +130,16 @@ def forecast(
         return empty_forecast(sales.sparkSession)
 
     state = build_state(weekly, [weeks[0]], start, cfg)
-    if predictor is None:
+    if rule is not None:
+        predictions = fold_forecast(state, len(weeks), rule)
+    else:
         profiles = sku_profiles(
             weekly, origin, start, cfg, facts.chains, facts.chain_products, facts.products
         )
         inputs = storage.table("sku_inputs", sku_inputs(weekly, profiles, max_ids=facts.products))
         predictor = fit_month_models(weekly, inputs, origin, weeks, start, cfg, model_folder, storage)
-        state = state.join(inputs, KEYS, "left")
-        predictor = with_seasonal_columns(predictor)
-    raw = storage.table("raw", recursive_forecast(state, len(weeks), predictor, weeks[0], cfg))
+        predictions = model_forecast(state.join(inputs, KEYS, "left"), len(weeks), predictor, weeks[0], cfg)
+    raw = storage.table("raw", predictions)
 
     in_window = weekly.where(F.col("week_start").between(F.lit(weeks[0]), F.lit(weeks[-1])))
     rows = assemble_output(raw.select(*KEYS, "week_start", "pred_model", "pred_base"), in_window)
@@ -151,14 +152,6 @@ def forecast(
     return final_output(rows, weeks[0], weeks[-1], date_as_int)
 
 
-def with_seasonal_columns(predictor: Predictor) -> Predictor:
-    """Let a predictor see the week's seasonal indices, from the profile the state carries."""
-    def score(rows: DataFrame, week: date) -> DataFrame:
-        return predictor(rows.withColumns(seasonal_columns(F.col("month"), F.col("season"))), week)
-
-    return score
-
-
 def fit_month_models(
     weekly: DataFrame,
     inputs: DataFrame,
