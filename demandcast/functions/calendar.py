@@ -13,8 +13,8 @@ _MONDAY_ZERO = date(1970, 1, 5)
 
 
 def week_start(day: Column) -> Column:
-    """Monday of the week that holds ``day``."""
-    return F.date_trunc("week", day).cast("date")
+    """Monday of the week that holds ``day``; date arithmetic only, no time zone involved."""
+    return F.trunc(day, "week")
 
 
 def week_no(monday: Column) -> Column:
@@ -57,13 +57,15 @@ def to_date_key(day: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    """YYYYMMDD or ISO text (or integer) to DATE, anything else to null."""
+    """YYYYMMDD or ISO text (or integer) to DATE, anything else to null.
+
+    Casting ISO text reports failure by null; format-driven parsing would raise and catch an
+    exception for each row in another format.
+    """
     trimmed = F.trim(text.cast("string"))
-    return F.coalesce(
-        F.try_to_timestamp(trimmed, F.lit("yyyyMMdd")),
-        F.try_to_timestamp(trimmed, F.lit("yyyy-MM-dd")),
-        F.try_to_timestamp(trimmed, F.lit("yyyy-MM-dd HH:mm:ss")),
-    ).cast("date")
+    eight_digits = F.concat_ws("-", F.substring(trimmed, 1, 4), F.substring(trimmed, 5, 2), F.substring(trimmed, 7, 2))
+    iso = F.when(trimmed.rlike(r"^\d{8}$"), eight_digits).when(trimmed.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), trimmed)
+    return iso.try_cast("date")
 
 
 # --- driver-side date arithmetic on single values --------------------------------------------

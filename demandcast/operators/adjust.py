@@ -18,6 +18,9 @@ from demandcast.operators.panel import last_k_per_sku
 
 KEYS = list(SKU)
 
+# stands for "no actual yet": every week is then future
+NO_ACTUAL = date(1900, 1, 1)
+
 
 def is_future(last_actual: date) -> Column:
     return F.col("week_start") > F.lit(last_actual)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.config import SKU, ForecastConfig
-from demandcast.functions.numeric import is_finite
+from demandcast.functions.numeric import is_finite, safe_div
 from demandcast.operators.features import (
     FEATURES,
     add_calendar,
@@ -24,7 +24,6 @@ from demandcast.operators.features import (
     baseline,
     impute_lag_52w,
 )
-from demandcast.operators.metrics import wape
 from demandcast.operators.recursion import Predictor
 from demandcast.operators.seasonality import seasonal_columns
 
@@ -96,6 +95,34 @@ def has_rows(rows: DataFrame, n: int) -> bool:
     return rows.limit(n).count() >= n
 
 
+def learner(cfg: ForecastConfig, weight: str = "weight") -> GBTRegressor:
+    """MLlib has no L2 penalty on leaf values; shrinkage, row and column sampling and the minimum
+    leaf size carry the regularisation."""
+    trees = cfg.trees
+    return GBTRegressor(
+        maxIter=trees.n_trees,
+        maxDepth=trees.max_depth,
+        stepSize=trees.step_size,
+        subsamplingRate=trees.row_fraction,
+        featureSubsetStrategy=trees.column_fraction,
+        minInstancesPerNode=trees.min_rows_per_leaf,
+        minInfoGain=trees.min_info_gain,
+        maxBins=trees.max_bins,
+        checkpointInterval=trees.checkpoint_interval,
+        seed=trees.seed,
+        weightCol=weight,
+    )
+
+
+def training_vectors(
+    rows: DataFrame, cutoff: date, lams: Sequence[float], cfg: ForecastConfig, features: Sequence[str] = FEATURES
+) -> DataFrame:
+    """Feature vector, label and one weight column per lambda (``weight_0``, ...) of the training rows."""
+    weights = [recency_weight(cutoff, lam, cfg).alias(f"weight_{i}") for i, lam in enumerate(lams)]
+    vectors = assembler(features).transform(fill_lag_52w(train_rows(rows, features)))
+    return vectors.select("features", F.log1p("weekly_total").alias("label"), *weights)
+
+
 def fit_trees(
     rows: DataFrame,
     cutoff: date,
@@ -103,35 +130,12 @@ def fit_trees(
     cfg: ForecastConfig = ForecastConfig(),
     features: Sequence[str] = FEATURES,
 ) -> PipelineModel | None:
-    """One global model over all SKUs, or None with too few training rows.
-
-    MLlib has no L2 penalty on leaf values; shrinkage, row and column sampling and the minimum
-    leaf size carry the regularisation.
-    """
-    vectors = assembler(features).transform(fill_lag_52w(train_rows(rows, features))).select(
-        "features",
-        F.log1p("weekly_total").alias("label"),
-        recency_weight(cutoff, lam, cfg).alias("weight"),
-    )
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    """One global model over all SKUs, or None with too few training rows."""
+    vectors = training_vectors(rows, cutoff, [lam], cfg, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if not has_rows(vectors, cfg.min_fit_rows):
             return None
-        trees = cfg.trees
-        learner = GBTRegressor(
-            maxIter=trees.n_trees,
-            maxDepth=trees.max_depth,
-            stepSize=trees.step_size,
-            subsamplingRate=trees.row_fraction,
-            featureSubsetStrategy=trees.column_fraction,
-            minInstancesPerNode=trees.min_rows_per_leaf,
-            minInfoGain=trees.min_info_gain,
-            maxBins=trees.max_bins,
-            checkpointInterval=trees.checkpoint_interval,
-            seed=trees.seed,
-            weightCol="weight",
-        )
-        return PipelineModel([assembler(features), learner.fit(vectors)])
+        return PipelineModel([assembler(features), learner(cfg, "weight_0").fit(vectors)])
     finally:
         vectors.unpersist()
 
@@ -186,26 +190,36 @@ def lambda_scores(
 ) -> DataFrame:
     """WAPE over the last 52 weeks of a fit with each candidate lambda.
 
-    As defined, the scored rows are trained on; ``holdout`` keeps them out of the fit. Each
-    candidate reads ``rows`` again, so pass a stored frame.
+    As defined, the scored rows are trained on; ``holdout`` keeps them out of the fit. Candidates
+    share the training vectors, and one pass over the recent weeks scores all of them.
     """
-    history = rows.where(F.col("week_start") < F.lit(as_of))
+    lams = cfg.recency_candidates
     first = as_of - timedelta(weeks=cfg.tuning_weeks)
-    recent = history.where(F.col("week_start") >= F.lit(first))
-    fit_on = history.where(F.col("week_start") < F.lit(first)) if holdout else history
-    scores = []
-    for lam in cfg.recency_candidates:
-        model = fit_trees(fit_on, as_of, lam, cfg)
-        if model is not None:
-            scored = predict(model, recent).select(
-                F.lit(lam).alias("lam"),
-                F.greatest("weekly_total", F.lit(0.0)).alias("actual"),
-                F.col("pred_model").alias("forecast"),
-            )
-            scores.append(wape(scored, ["lam"]))
-    if not scores:
-        return rows.sparkSession.createDataFrame([], "lam double, wape double")
-    return reduce(DataFrame.unionByName, scores)
+    fit_before = first if holdout else as_of
+    fit_on = rows.where(F.col("week_start") < F.lit(fit_before))
+    vectors = training_vectors(fit_on, as_of, lams, cfg).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if not has_rows(vectors, cfg.min_fit_rows):
+            return rows.sparkSession.createDataFrame([], "lam double, wape double")
+        models = [learner(cfg, f"weight_{i}").fit(vectors) for i in range(len(lams))]
+    finally:
+        vectors.unpersist()
+
+    recent = rows.where(F.col("week_start").between(F.lit(first), F.lit(as_of - timedelta(days=1))))
+    scored = assembler().transform(fill_lag_52w(recent))
+    for i, model in enumerate(models):
+        scored = model.setPredictionCol(f"p_{i}").transform(scored)
+    actual = F.greatest("weekly_total", F.lit(0.0))
+    errors = []
+    for i in range(len(lams)):
+        value = F.when(is_scorable(), F.greatest(F.expm1(f"p_{i}"), F.lit(0.0))).otherwise(F.lit(0.0))
+        errors.append(F.sum(F.abs(actual - value)).alias(f"e_{i}"))
+    sums = scored.agg(F.sum(actual).alias("sold"), *errors)
+    pairs = [
+        F.struct(F.lit(lam).alias("lam"), safe_div(F.col(f"e_{i}"), F.col("sold"), None).alias("wape"))
+        for i, lam in enumerate(lams)
+    ]
+    return sums.select(F.inline(F.array(*pairs)))
 
 
 def tune_lambda(

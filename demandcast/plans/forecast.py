@@ -144,8 +144,7 @@ def forecast(
     in_window = weekly.where(F.col("week_start").between(F.lit(weeks[0]), F.lit(weeks[-1])))
     rows = assemble_output(raw.select(*KEYS, "week_start", "pred_model", "pred_base"), in_window)
     rows = rows.withColumn("forecast", F.col("pred_model"))
-    # without any positive sale every week is future
-    last_actual = facts.last_actual or date.min
+    last_actual = facts.last_actual or adjust.NO_ACTUAL
     # upper bound of rows per chain and week (or month) of the window
     groups = facts.chains * len(weeks)
     rows = adjust_future(rows, weekly, origin, start, last_actual, facts.chains, groups, cfg, history, storage)

@@ -8,10 +8,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="demandcast-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder from ``spark.checkpoint.dir``; a temporary one only for a local session without it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -19,9 +25,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="demandcast-")
-    spark.conf.set("spark.checkpoint.dir", folder) if spark.conf.isModifiable("spark.checkpoint.dir") else None
-    return folder
+    return _local_folder()
 
 
 class Storage:
