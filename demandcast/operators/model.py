@@ -46,9 +46,10 @@ def feature_frame(
     """All features of the observed weeks, one row per SKU and week.
 
     History and level windows and the profile join are all clustered on the SKU, so rows are
-    shuffled once. ``profiles`` brings codes and seasonal indices, see ``sku_inputs``.
+    shuffled once; calendar columns come last so that they are not shuffled. ``profiles`` brings
+    codes and seasonal indices, see ``sku_inputs``.
     """
-    rows = add_level(add_history(add_calendar(weekly, cfg), start, cfg), start)
+    rows = add_calendar(add_level(add_history(weekly, start, cfg), start), cfg)
     return rows if profiles is None else with_model_features(rows, profiles)
 
 

@@ -141,22 +141,25 @@ def sku_profiles(
     max_chains: int | None = None,
     max_chain_products: int | None = None,
     max_products: int | None = None,
+    chain_weeks: DataFrame | None = None,
 ) -> DataFrame:
     """One row per SKU with its seasonal indices by month and season, fallbacks applied.
 
     Chain index: the chain's own if it has enough weeks of history, else the global one, else 1.
     SKU index: its own, else the chain's (without that gate), else the global one, else 1.
     Lookups run on one row per SKU, not per SKU and week; bounds of the lookups' sizes, where
-    known, allow them to be broadcast.
+    known, allow them to be broadcast. ``chain_weeks``, the chain totals of ``weekly``, saves
+    reading the panel for the chain and global indices.
     """
+    by_chain = weekly if chain_weeks is None else chain_weeks
     skus = weekly.select(*KEYS).distinct()
     chain = (
-        _by_slot(chain_index(weekly, as_of, start, cfg), ["chain_id"], "month", 12, "_chain")
-        .join(chain_history(weekly, as_of).select("chain_id", F.col("weeks").alias("_weeks")), "chain_id", "full")
+        _by_slot(chain_index(by_chain, as_of, start, cfg), ["chain_id"], "month", 12, "_chain")
+        .join(chain_history(by_chain, as_of).select("chain_id", F.col("weeks").alias("_weeks")), "chain_id", "full")
     )
     sku = _by_slot(sku_index(weekly, as_of, start, cfg), ["chain_id", "product_id"], "month", 12, "_sku")
     product = _by_slot(product_index(weekly, as_of, start, cfg), ["product_id"], "season", 4, "_product")
-    overall = _by_slot(global_index(weekly, as_of, start, cfg), [], "month", 12, "_global")
+    overall = _by_slot(global_index(by_chain, as_of, start, cfg), [], "month", 12, "_global")
 
     rows = lookup_join(skus, chain, ["chain_id"], ["store_id", "product_id"], max_rows=max_chains)
     rows = lookup_join(

@@ -22,9 +22,11 @@ from demandcast.operators.model import (
 )
 from demandcast.operators.panel import (
     assemble_output,
+    chain_week_totals,
     clean_sales,
     eligible_chains,
     keep_chains,
+    panel_start,
     yoy_eligible,
 )
 from demandcast.operators.recursion import Predictor, Rule, build_state, fold_forecast, model_forecast
@@ -65,13 +67,16 @@ def panel_facts(weekly: DataFrame) -> PanelFacts:
 
 
 def store_panel(sales: DataFrame, storage: Storage) -> DataFrame:
-    """Weekly totals, with each week's last day of positive sales, as a stored table."""
+    """Weekly totals, with each week's last day of positive sales, as a stored table.
+
+    Files are sorted by week, so readers of a range of weeks skip row groups.
+    """
     clean = clean_sales(sales)
     weekly = clean.groupBy(*KEYS, week_start(F.col("sale_date")).alias("week_start")).agg(
         F.sum("qty").alias("weekly_total"),
         F.max(F.when(F.col("qty") > 0, F.col("sale_date"))).alias("last_sale_day"),
     )
-    return storage.table("weekly", weekly)
+    return storage.table("weekly", weekly.sortWithinPartitions("week_start"))
 
 
 def forecast_weeks(
@@ -123,9 +128,12 @@ def forecast(
     if facts.start is None or not weeks:
         return empty_forecast(sales.sparkSession)
 
-    chains = eligible_chains(everything, origin, cfg.min_chain_weeks)
+    # all chain-level figures come from this roll-up, not from the panel
+    chain_weeks = storage.table("chain_weeks", chain_week_totals(everything))
+    chains = eligible_chains(chain_weeks, origin, cfg.min_chain_weeks)
+    chain_weeks = chain_weeks.join(chains.select("chain_id"), "chain_id", "left_semi")
     weekly = keep_chains(everything, chains, max_chains=facts.chains).drop("last_sale_day")
-    start = weekly.agg(F.min("week_start")).first()[0]
+    start = panel_start(chain_weeks)
     if start is None:
         return empty_forecast(sales.sparkSession)
 
@@ -134,23 +142,30 @@ def forecast(
         predictions = fold_forecast(state, len(weeks), rule)
     else:
         profiles = sku_profiles(
-            weekly, origin, start, cfg, facts.chains, facts.chain_products, facts.products
+            weekly, origin, start, cfg, facts.chains, facts.chain_products, facts.products, chain_weeks
         )
         inputs = storage.table("sku_inputs", sku_inputs(weekly, profiles, max_ids=facts.products))
         predictor = fit_month_models(weekly, inputs, origin, weeks, start, cfg, model_folder, storage)
         predictions = model_forecast(state.join(inputs, KEYS, "left"), len(weeks), predictor, weeks[0], cfg)
     raw = storage.table("raw", predictions)
 
-    in_window = weekly.where(F.col("week_start").between(F.lit(weeks[0]), F.lit(weeks[-1])))
+    in_window = between_weeks(weekly, weeks[0], weeks[-1])
     rows = assemble_output(raw.select(*KEYS, "week_start", "pred_model", "pred_base"), in_window)
-    rows = rows.withColumn("forecast", F.col("pred_model"))
+    rows = storage.table("assembled", rows.withColumn("forecast", F.col("pred_model")))
     last_actual = facts.last_actual or adjust.NO_ACTUAL
     # upper bound of rows per chain and week (or month) of the window
     groups = facts.chains * len(weeks)
-    rows = adjust_future(rows, weekly, origin, start, last_actual, facts.chains, groups, cfg, history, storage)
+    year_ago = between_weeks(weekly, weeks[0] - timedelta(days=364), weeks[-1] - timedelta(days=364))
+    rows = adjust_future(
+        rows, year_ago, chain_weeks, origin, start, last_actual, facts.chains, groups, cfg, history, storage
+    )
     return final_output(rows, weeks[0], weeks[-1], date_as_int)
 
 
+def between_weeks(weekly: DataFrame, first: date, last: date) -> DataFrame:
+    return weekly.where(F.col("week_start").between(F.lit(first), F.lit(last)))
+
+
 def fit_month_models(
     weekly: DataFrame,
     inputs: DataFrame,
@@ -174,7 +189,8 @@ def fit_month_models(
 
 def adjust_future(
     rows: DataFrame,
-    weekly: DataFrame,
+    year_ago: DataFrame,
+    chain_weeks: DataFrame,
     as_of: date,
     start: date,
     last_actual: date,
@@ -184,7 +200,11 @@ def adjust_future(
     history: DataFrame | None,
     storage: Storage,
 ) -> DataFrame:
-    """Post-processing of weeks after ``last_actual``; earlier weeks pass through."""
+    """Post-processing of weeks after ``last_actual``; earlier weeks pass through.
+
+    ``year_ago`` has the SKU totals of the window's weeks one year earlier, ``chain_weeks`` the
+    chain totals of all weeks, of which month totals, trends and directions are further roll-ups.
+    """
     rows = adjust.ensemble_blend(rows, last_actual, cfg)
     rows = adjust.anchor_forecast(rows, last_actual, cfg)
     rows = storage.table("anchored", rows)
@@ -192,12 +212,12 @@ def adjust_future(
     past = rows.where(~adjust.is_future(last_actual))
     future = rows.where(adjust.is_future(last_actual))
 
-    yoy = yoy_eligible(weekly, as_of, cfg.yoy_history_days)
+    yoy = yoy_eligible(chain_weeks, as_of, cfg.yoy_history_days)
     future = caps.reconcile(future, max_groups=max_groups)
-    future = caps.cap_chain_week(future, weekly, yoy, cfg, max_groups=max_groups)
-    future = storage.table("week_capped", caps.cap_sku_yoy(future, weekly, yoy, cfg, max_chains=max_chains))
-    directions = season_direction(weekly, as_of, start, cfg)
-    future = caps.cap_chain_month(future, weekly, yoy, directions, history, cfg, max_groups=max_groups)
+    future = caps.cap_chain_week(future, chain_weeks, yoy, cfg, max_groups=max_groups)
+    future = storage.table("week_capped", caps.cap_sku_yoy(future, year_ago, yoy, cfg, max_chains=max_chains))
+    directions = season_direction(chain_weeks, as_of, start, cfg)
+    future = caps.cap_chain_month(future, chain_weeks, yoy, directions, history, cfg, max_groups=max_groups)
     future = caps.smooth_month(storage.table("month_capped", future), cfg, max_groups=max_groups)
     return past.unionByName(future)
 
