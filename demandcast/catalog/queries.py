@@ -26,6 +26,7 @@ from demandcast.catalog.inputs import (
     weekly,
     weekly_before,
 )
+from demandcast.config import ForecastConfig
 from demandcast.functions.calendar import to_date_key
 from demandcast.operators import adjust, caps, metrics, panel, seasonality
 from demandcast.operators import features as feat
@@ -348,7 +349,7 @@ def train_rows(spark, sf_dir):
 @query
 def recency_weights(spark, sf_dir):
     rows = weekly(spark, sf_dir)
-    low_bar = CFG.__class__(high_volume=40.0)
+    low_bar = ForecastConfig(high_volume=40.0)
     out = feat.add_history(rows, panel.panel_start(rows), CFG).where(F.col("week_start") < F.lit(AS_OF))
     weight = trees.recency_weight(AS_OF, CFG.recency_default, low_bar)
     return out.select(*KEYS, "week_start", r6(weight).alias("weight"))
@@ -636,7 +637,7 @@ def recursive_model(spark, sf_dir):
 
 
 @query
-def backtest_model(spark, sf_dir):
+def backtest_(spark, sf_dir):
     """Error of two origins, each with its own model."""
     rows, inputs, panel_rows, start = _stored_features(spark, sf_dir)
     origins = BACKTEST_ORIGINS[:2]

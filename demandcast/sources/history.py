@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from demandcast.config import SKU
 from demandcast.functions.calendar import parse_date
 from demandcast.functions.numeric import try_double
 from demandcast.operators.joins import attach_one_row
+from demandcast.sources.sales import require_columns
 
 FORECAST_SCHEMA = T.StructType(
     [
@@ -28,6 +30,19 @@ FORECAST_SCHEMA = T.StructType(
 HISTORY_SCHEMA = T.StructType([*FORECAST_SCHEMA.fields, T.StructField("forecast_run_date", T.DateType())])
 
 
+# fixed values: column names of forecast files and the names used here
+FILE_NAMES = {
+    "Date": "week_start",
+    "Cadena": "chain_id",
+    "Tienda": "store_id",
+    "Producto": "product_id",
+    "Actual": "actual",
+    "Forecast": "forecast",
+    "Pred_Model": "pred_model",
+    "Pred_Base": "pred_base",
+}
+
+
 def empty_forecast(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], FORECAST_SCHEMA)
 
@@ -48,15 +63,32 @@ def history_before_run(history: DataFrame, run_date: date) -> DataFrame:
     )
 
 
-def read_history(spark: SparkSession, path: str, run_date: date) -> DataFrame:
-    """Stored history before ``run_date``; whole run-date partitions are skipped. Empty if there is none."""
+def _stored_history(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
+    """Stored history, or a typed empty frame if there is none yet."""
     try:
-        stored = spark.read.schema(HISTORY_SCHEMA).parquet(path)
+        if file_format == "csv":
+            text = spark.read.option("header", True).option("inferSchema", False).csv(path)
+            return text.withColumnsRenamed(FILE_NAMES)
+        return spark.read.schema(HISTORY_SCHEMA).parquet(path)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error.getCondition()):
             raise
-        stored = spark.createDataFrame([], HISTORY_SCHEMA)
-    return history_before_run(stored, run_date)
+        return spark.createDataFrame([], HISTORY_SCHEMA)
+
+
+def read_history(spark: SparkSession, path: str, run_date: date, file_format: str = "parquet") -> DataFrame:
+    """Stored history before ``run_date``; whole run-date partitions are skipped. Empty if there is none."""
+    return history_before_run(_stored_history(spark, path, file_format), run_date)
+
+
+def read_forecasts_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Forecasts of a CSV file or folder, typed; rows without a readable date or id are dropped."""
+    text = spark.read.option("header", True).option("inferSchema", False).csv(path).withColumnsRenamed(FILE_NAMES)
+    require_columns(text, ["week_start", *SKU, "forecast"])
+    ids = [F.col(k).try_cast("bigint").alias(k) for k in SKU]
+    forecast = F.coalesce(try_double(F.col("forecast")), F.lit(0.0)).alias("forecast")
+    rows = text.select(parse_date(F.col("week_start")).alias("week_start"), *ids, forecast)
+    return rows.dropna(subset=["week_start", *SKU])
 
 
 def history_upsert(old: DataFrame, new: DataFrame, run_date: date) -> DataFrame:
@@ -76,12 +108,6 @@ def write_history_upsert(old_path: str, new: DataFrame, run_date: date, target_p
     """Upsert into a new folder: the one being read is never overwritten."""
     if old_path.rstrip("/") == target_path.rstrip("/"):
         raise ValueError("target_path must differ from old_path")
-    spark = new.sparkSession
-    try:
-        old = spark.read.schema(HISTORY_SCHEMA).parquet(old_path)
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error.getCondition()):
-            raise
-        old = spark.createDataFrame([], HISTORY_SCHEMA)
+    old = _stored_history(new.sparkSession, old_path)
     merged = history_upsert(old, new, run_date).select(*HISTORY_SCHEMA.names)
     merged.write.mode("errorifexists").partitionBy("forecast_run_date").parquet(target_path)

@@ -47,10 +47,13 @@ def replace_window(target: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select(*new.columns).unionByName(new)
 
 
-def write_replace_window(new: DataFrame, path: str) -> None:
-    """Replace the partitions of the new rows' algorithm and dates; all others stay untouched."""
+def write_replace_window(new: DataFrame, path: str, files_per_date: int = 16) -> None:
+    """Replace the partitions of the new rows' algorithm and dates; all others stay untouched.
+
+    A date's rows are dealt to ``files_per_date`` tasks.
+    """
     (
-        new.repartition("algo_id", "date_key", F.pmod(F.xxhash64("store_id", "product_id"), F.lit(16)))
+        new.repartition("algo_id", "date_key", F.pmod(F.xxhash64("store_id", "product_id"), F.lit(files_per_date)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("algo_id", "date_key")

@@ -1,8 +1,11 @@
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
 from demandcast.config import ForecastConfig
 from demandcast.operators import metrics
+from demandcast.plans.bias import update_bias
 from tests.conftest import monday
 
 
@@ -53,3 +56,19 @@ def test_alpha_must_beat_the_best_by_the_margin(spark):
     assert metrics.select_alpha(errors(1.0, 0.99, 0.985, 0.5)).first().best_alpha == 0.15
     assert metrics.select_alpha(errors(1.0, 0.9, 0.89, 0.885)).first().best_alpha == 0.05
     assert metrics.select_alpha(errors(1.0, 0.99, 0.985, 0.981)).first().best_alpha is None
+
+
+def test_update_bias_writes_only_if_it_helps(spark, tmp_path):
+    sales = spark.createDataFrame(
+        [(4, 1, p, monday(i), 50.0) for i in range(110) for p in (1, 2)],
+        "chain_id long, store_id long, product_id long, sale_date date, qty double",
+    )
+    forecasts = sales.selectExpr("chain_id", "store_id", "product_id", "sale_date AS week_start", "qty * 1.25 AS forecast")
+    table, log = str(tmp_path / "bias"), str(tmp_path / "log")
+    right = forecasts.withColumn("forecast", F.col("forecast") / 1.25)
+    assert not update_bias(sales, right, date(2025, 9, 1), table, log)
+    assert update_bias(sales, forecasts, date(2025, 9, 1), table, log)
+    assert update_bias(sales, forecasts, date(2025, 9, 8), table, log)
+    factors = [r.bias_factor for r in spark.read.parquet(table).collect()]
+    assert factors == pytest.approx([1 + 0.25 * (0.8 - 1)] * 12)
+    assert spark.read.parquet(log).count() == 24

@@ -8,6 +8,7 @@ from demandcast.sources.history import (
     append_history,
     empty_forecast,
     history_upsert,
+    read_forecasts_csv,
     read_history,
     write_history_upsert,
 )
@@ -131,3 +132,14 @@ def test_history_upsert_replaces_overlap_and_survives_a_second_run(spark, tmp_pa
 
 def test_empty_forecast_has_the_output_columns(spark):
     assert empty_forecast(spark).schema == FORECAST_SCHEMA
+
+
+def test_forecast_files_in_csv_form(spark, tmp_path):
+    path = str(tmp_path / "history.csv")
+    with open(path, "w") as out:
+        out.write("Date,Cadena,Tienda,Producto,Actual,Forecast,forecast_run_date\n")
+        out.write("2025-09-01,1,2,3,4,5,2025-08-25\n20250908,1,2,3,,x,2025-09-08\nsoon,1,2,3,4,5,2025-08-25\n")
+    rows = read_history(spark, path, date(2025, 9, 8), "csv").collect()
+    assert [(r.week_start, r.forecast) for r in rows] == [(date(2025, 9, 1), 5.0), (None, 5.0)]
+    typed = [tuple(r) for r in read_forecasts_csv(spark, path).collect()]
+    assert typed == [(date(2025, 9, 1), 1, 2, 3, 5.0), (date(2025, 9, 8), 1, 2, 3, 0.0)]
