@@ -1,3 +1,42 @@
 """DuckDB equivalents of the corpus queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+ORACLES["op1_exact_dedup"] = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+ORACLES["op7_mixing"] = r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15) AS BIGINT) AS hash
+    FROM documents
+), sources AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size, 2.0::DOUBLE * sum(size) AS cap FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [3.0::DOUBLE, 1.0, 2.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM sources
+), levels AS (
+    SELECT *, cap / weight AS ratio,
+           ((SELECT 1.5 * sum(source_size) FROM sources)
+            - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+           / sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+    FROM weighed
+), targets AS (
+    SELECT source, source_size, least(cap, weight * (SELECT level FROM levels WHERE level <= ratio ORDER BY ratio, source LIMIT 1)) AS target
+    FROM levels
+), ordered AS (
+    SELECT s.*, source_size, target,
+           CASE WHEN target >= source_size THEN target - source_size ELSE target END AS budget,
+           CASE WHEN target >= source_size THEN 1 ELSE 0 END AS once,
+           sum(size) OVER (PARTITION BY s.source ORDER BY hash) AS through,
+           sum(size) OVER (PARTITION BY s.source ORDER BY hash) - sum(size) OVER (PARTITION BY s.source, hash) AS before
+    FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (once + CASE WHEN through <= budget OR (before <= budget AND budget - before > through - budget)
+                                THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM ordered
+"""

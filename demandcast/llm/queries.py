@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import token_files
+from demandcast.llm import exact_dedup, fingerprints, mixing, sharding, simhash, token_files
 from demandcast.llm.common import read_table
 from demandcast.sources.storage import Storage
 
@@ -20,6 +20,36 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op1_exact_dedup(spark, sf_dir):
+    """Equal texts by block naming; the row with the largest doc_id stays."""
+    groups = exact_dedup.exact_groups(read_table(spark, sf_dir, "documents"), Storage(spark))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query
+def op3_fingerprints(spark, sf_dir):
+    """256 bins of 4 bits over five-word shingles, for each text and its edited form."""
+    rows = fingerprints.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.encode("edited_text", "UTF-8"), 256).alias("edited_sha256"),
+        fingerprints.as_hex(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+@query
+def op4_sharding(spark, sf_dir):
+    """Place every document on one of 64 shards."""
+    shards = [f"shard-{n:03d}" for n in range(sharding.SHARDS)]
+    docs = read_table(spark, sf_dir, "documents").select("doc_id")
+    return sharding.assign_shards(docs, shards).select("doc_id", "slot", "shard")
+
+
 @query
 def op5_token_files(spark, sf_dir):
     """Ids of the 50k byte-level vocabulary, written in id order and read back."""
@@ -34,3 +64,18 @@ def op5_token_files(spark, sf_dir):
         F.expr("cast(octet_length(ids) / 4 as bigint)").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
+
+
+@query
+def op7_mixing(spark, sf_dir):
+    """Sources weigh 3, 1, 2 in turn and share 150 % of all words."""
+    docs = read_table(spark, sf_dir, "documents")
+    taken = mixing.take_shares(docs, mixing.repeating_weights(docs, [3, 1, 2]), Storage(spark), 1.5)
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op8_simhash(spark, sf_dir):
+    """64 bits over three-word shingles, linked at two bits or fewer."""
+    groups = simhash.near_groups(read_table(spark, sf_dir, "documents"), Storage(spark))
+    return groups.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
