@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import exact_dedup, fingerprints, mixing, sharding, simhash, token_files
+from demandcast.llm import exact_dedup, fingerprints, mixing, packing, quality, sharding, simhash, token_files
 from demandcast.llm.common import read_table
 from demandcast.sources.storage import Storage
 
@@ -79,3 +79,18 @@ def op8_simhash(spark, sf_dir):
     """64 bits over three-word shingles, linked at two bits or fewer."""
     groups = simhash.near_groups(read_table(spark, sf_dir, "documents"), Storage(spark))
     return groups.select("doc_id", F.lower(F.hex("fingerprint")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_packing(spark, sf_dir):
+    """Pieces of at most 2048 ids of the 49k word-level vocabulary, in as few sequences as it can."""
+    packed = packing.pack_documents(read_table(spark, sf_dir, "documents"), Storage(spark))
+    return packed.drop("ids")
+
+
+@query
+def op10_quality(spark, sf_dir):
+    """Score every document with an additive model fitted outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
