@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import exact_dedup, fingerprints, mixing, packing, quality, sharding, simhash, token_files
+from demandcast.llm import exact_dedup, fingerprints, language_model, mixing, packing, quality, sharding, simhash, token_files
 from demandcast.llm.common import read_table
 from demandcast.sources.storage import Storage
 
@@ -66,6 +66,12 @@ def op5_token_files(spark, sf_dir):
     )
 
 
+@query
+def op6_language_model(spark, sf_dir):
+    """Lattice likelihood over the 32k piece vocabulary, learned outside the held-out fold."""
+    return language_model.score_documents(read_table(spark, sf_dir, "documents"), Storage(spark))
+
+
 @query
 def op7_mixing(spark, sf_dir):
     """Sources weigh 3, 1, 2 in turn and share 150 % of all words."""
