@@ -40,7 +40,7 @@ from demandcast.sources.storage import Storage
 VOCABULARY = "piece_bpe_32k.model"
 CHUNK_BYTES = 24 << 20
 WORDS_AT_ONCE = 50_000
-ROUNDS = 2
+ROUNDS = 4
 HELD_OUT_FOLD = 1
 #: Most classes; documents in rarer languages share the last.
 CLASSES = 8

@@ -2,22 +2,26 @@
 
 A fingerprint has ``64 * seeds`` bits: bit b of a seed's word is set if it is set in over half of
 the hashes of the text's shingles. Distinct fingerprints are cut into tiles by the population
-counts of their four quarters. Fingerprints within the radius differ by at most the radius in the
-sum of those counts' differences, so only such tiles are compared: by numpy exclusive-or and bit
-counts, every pair of their rows. From a pair of tiles only links that join something not yet
-joined within it are kept, so a dense group of copies yields a few links each, not all pairs.
-Linked fingerprints are grouped by their smallest member with alternating star contractions.
+counts of their four quarters, in steps of the radius. Fingerprints within the radius differ by at
+most the radius in the sum of those counts' differences, so other pairs of tiles are skipped. The
+rest are compared by numpy exclusive-or and bit counts, every pair of their rows. A crowded tile is
+cut further by hash, and each pair of parts is a cell of its own, so that no task has all of it.
+From a cell only links that join something not yet joined within it are kept: a dense group of
+copies yields a link for each, not all pairs. Linked fingerprints are grouped by their smallest
+member with alternating star contractions.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import product
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import fresh_name, lower_words, partitions, whole_text, with_row_id
@@ -27,10 +31,10 @@ SHINGLE = 3
 SEEDS = (42,)
 RADIUS = 2
 QUARTERS = 4
-#: Fingerprints in a tile at most; a population count with more of them has several tiles.
-TILE = 2048
-#: Rows of a tile compared with the other tile at a time.
-STRIPE = 256
+#: A tile with more fingerprints is cut into parts of about this many, and into sqrt(2 * shuffle partitions) at most.
+TILE = 8192
+#: Pairs compared at a time.
+PAIRS_AT_ONCE = 1 << 21
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -67,26 +71,30 @@ def fingerprint_rows(docs: DataFrame, shingle: int, seeds: tuple[int, ...]) -> D
     return rows.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, fingerprint binary")
 
 
-def _as_words(packed: list[bytes] | bytes, size: int) -> np.ndarray:
-    joined = packed if isinstance(packed, bytes) else b"".join(packed)
+def _as_words(joined: bytes, size: int) -> np.ndarray:
     return np.frombuffer(joined, dtype=">u8").reshape(-1, size // 8).astype(np.uint64)
 
 
 def _neighbours(radius: int) -> list[tuple[int, ...]]:
-    """Differences of the quarters' population counts that sum to ``radius`` at most, one of each mirrored pair."""
-    reach = range(-radius, radius + 1)
-    every = [d for d in product(reach, repeat=QUARTERS) if sum(map(abs, d)) <= radius]
+    """Steps between tiles that may hold fingerprints within ``radius``, one of each mirrored pair.
+
+    Counts whose steps of ``radius`` differ by e differ by (e - 1) * radius + 1 at least.
+    """
+    least = {0: 0, 1: 1, 2: max(1, radius) + 1}
+    every = [d for d in product(range(-2, 3), repeat=QUARTERS) if sum(least[abs(x)] for x in d) <= radius]
     return [d for d in every if d >= (0,) * QUARTERS]
 
 
-def _counts(size: int):
-    """Population counts of the quarters of a binary fingerprint, as a Spark expression."""
+def _tile(size: int, radius: int) -> Column:
+    """Population counts of the quarters of a binary fingerprint in steps of ``radius``."""
     quarter = size // QUARTERS
-    value = lambda n: F.conv(F.hex(F.substring("fingerprint", n, 2)), 16, 10).cast("long")
-    parts = [
-        sum((F.bit_count(value(q * quarter + k + 1)) for k in range(0, quarter, 2)), F.lit(0)) for q in range(QUARTERS)
-    ]
-    return F.array(*parts)
+
+    def ones(q: int) -> Column:
+        parts = range(q * quarter, (q + 1) * quarter, min(quarter, 4))
+        values = [F.conv(F.hex(F.substring("fingerprint", at + 1, min(quarter, 4))), 16, 10).cast("long") for at in parts]
+        return reduce(lambda a, b: a + b, [F.bit_count(v) for v in values])
+
+    return F.array(*[(F.floor(ones(q) / max(1, radius))).cast("int") for q in range(QUARTERS)])
 
 
 def spanning_links(left: np.ndarray, right: np.ndarray, radius: int, same: bool) -> list[tuple[int, int]]:
@@ -95,8 +103,9 @@ def spanning_links(left: np.ndarray, right: np.ndarray, radius: int, same: bool)
     label = np.arange(n) if same else np.arange(n + m)
     shift = 0 if same else n
     links: list[tuple[int, int]] = []
-    for at in range(0, n, STRIPE):
-        stripe = left[at : at + STRIPE]
+    height = max(1, PAIRS_AT_ONCE // max(1, m))
+    for at in range(0, n, height):
+        stripe = left[at : at + height]
         distance = np.zeros((len(stripe), m), dtype=np.uint16)
         for w in range(left.shape[1]):
             distance += np.bitwise_count(stripe[:, w, None] ^ right[None, :, w])
@@ -118,45 +127,45 @@ def spanning_links(left: np.ndarray, right: np.ndarray, radius: int, same: bool)
 def near_links(prints: DataFrame, size: int, radius: int, store: Storage) -> DataFrame:
     """Links (a, b) among distinct fingerprints (column ``fingerprint``, ``size`` bytes) within ``radius``.
 
-    Everything within the radius is connected by the links; chains inside a tile pair are not repeated.
+    They connect everything that is within the radius; links that close a ring inside a cell are left out.
     """
     n = partitions(prints.sparkSession)
-    counted = prints.select("fingerprint", _counts(size).alias("counts"))
-    # a crowded population count is first dealt out by hash, then cut into tiles
-    dealt = counted.withColumn("deal", F.pmod(F.xxhash64("fingerprint"), F.lit(n)))
-    place = F.row_number().over(Window.partitionBy("counts", "deal").orderBy("fingerprint")) - 1
-    small = dealt.groupBy("counts").agg(F.count("*").alias("held"))
-    spread = F.greatest(F.lit(1), F.least(F.lit(n), F.ceil(F.col("held") / TILE))).cast("int")
-    dealt = dealt.join(store.table("crowds", small), "counts").withColumn("deal", F.pmod("deal", spread))
-    tiles = (
-        dealt.withColumn("cut", F.floor(place / TILE))
-        .groupBy("counts", "deal", "cut")
-        .agg(F.sort_array(F.collect_list("fingerprint")).alias("held"))
-        .select("counts", F.xxhash64("counts", "deal", "cut").alias("tile"), F.array_join(F.transform("held", F.hex), "").alias("held"))
-        .withColumn("held", F.unhex("held"))
+    tiled = prints.select("fingerprint", _tile(size, radius).alias("tile"))
+    parts = F.least(F.lit(math.ceil(math.sqrt(2 * n))), F.ceil(F.col("held") / TILE)).cast("int")
+    crowds = tiled.groupBy("tile").agg(F.count("*").alias("held")).select("tile", parts.alias("parts"))
+    crowds = store.table("crowds", crowds)
+    part = F.pmod(F.xxhash64("fingerprint"), F.col("parts")).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    steps = F.array(*[F.array(*[F.lit(x) for x in d]) for d in _neighbours(radius)])
+    toward = tiled.withColumn("step", F.explode(steps)).select(
+        "fingerprint",
+        F.zip_with("tile", "step", lambda a, b: a + b).alias("tile"),
+        F.forall("step", lambda x: x == 0).alias("own"),
     )
-    tiles = store.table("tiles", tiles)
-    steps = _neighbours(radius)
-    shifts = F.array(*[F.array(*[F.lit(x) for x in d]) for d in steps])
-    left = tiles.withColumn("shift", F.explode(shifts)).select(
-        F.zip_with("counts", "shift", lambda a, b: a + b).alias("counts"),
-        (F.aggregate("shift", F.lit(0), lambda s, x: s + F.abs(x)) == 0).alias("own"),
-        F.col("tile").alias("left_tile"),
-        F.col("held").alias("left"),
+    cell = ["tile", "own", "line", "pile"]
+    # within a tile the cells (line, pile) and (pile, line) compare the same pairs
+    left = toward.join(crowds, "tile").withColumn("line", part).withColumn("pile", each)
+    left = left.where("not own or line <= pile").select(*cell, "fingerprint")
+    right = tiled.join(crowds, "tile").withColumn("pile", part).withColumn("line", each)
+    right = right.withColumn("own", F.explode(F.array(F.lit(True), F.lit(False))))
+    theirs_cell = [f"right_{c}" for c in cell]
+    right = right.where("not own or line <= pile").select(
+        *[F.col(c).alias(x) for c, x in zip(cell, theirs_cell)], F.col("fingerprint").alias("right_fingerprint")
     )
-    pairs = left.join(tiles, "counts").where(~F.col("own") | (F.col("left_tile") <= F.col("tile")))
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a_out, b_out = [], []
-            for same, left, right in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                for a, b in spanning_links(_as_words(left, size), _as_words(right, size), radius, same):
-                    a_out.append(left[a * size : (a + 1) * size])
-                    b_out.append(right[b * size : (b + 1) * size])
-            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.binary()), pa.array(b_out, pa.binary())], names=["a", "b"])
-
-    chosen = pairs.select((F.col("left_tile") == F.col("tile")).alias("same"), "left", F.col("held").alias("right"))
-    return chosen.mapInArrow(compare, "a binary, b binary")
+    def compare(ours: pa.Table, theirs: pa.Table) -> pa.Table:
+        a, b = sorted(ours.column("fingerprint").to_pylist()), sorted(theirs.column("right_fingerprint").to_pylist())
+        found = []
+        if a and b:
+            same = ours.column("own")[0].as_py() and ours.column("line")[0] == ours.column("pile")[0]
+            found = spanning_links(_as_words(b"".join(a), size), _as_words(b"".join(b), size), radius, same)
+        return pa.table(
+            {"a": pa.array([a[i] for i, _ in found], pa.binary()), "b": pa.array([b[j] for _, j in found], pa.binary())}
+        )
+
+    # a cell's work is not its bytes, so partitions are not to be coalesced
+    left, right = left.repartition(2 * n, *cell), right.repartition(2 * n, *theirs_cell)
+    return left.groupBy(*cell).cogroup(right.groupBy(*theirs_cell)).applyInArrow(compare, "a binary, b binary")
 
 
 def smallest_linked(links: DataFrame, store: Storage) -> DataFrame:
