@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import exact_dedup, fingerprints, language_model, mixing, packing, quality, sharding, simhash, token_files
+from demandcast.llm import exact_dedup, fingerprints, language_model, licenses, mixing, packing, quality, sharding, simhash, token_files
 from demandcast.llm.common import read_table
 from demandcast.sources.storage import Storage
 
@@ -27,6 +27,21 @@ def op1_exact_dedup(spark, sf_dir):
     return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+@query
+def op2_licenses(spark, sf_dir):
+    """License notices of every document, with what differs from the notice's wording."""
+    found = licenses.scan_licenses(read_table(spark, sf_dir, "documents"), Storage(spark))
+    return found.select(
+        "doc_id",
+        "at",
+        "license",
+        F.round("saved", 6).alias("saved"),
+        "covered",
+        F.array_join("missing", " ").alias("missing"),
+        F.array_join("between", " ").alias("between"),
+    )
+
+
 @query
 def op3_fingerprints(spark, sf_dir):
     """256 bins of 4 bits over five-word shingles, for each text and its edited form."""
