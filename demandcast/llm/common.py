@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from demandcast.sources.storage import Storage
+
 # words are runs of anything but space, tab, newline, vertical tab, form feed and carriage return
 WHITE_SPACE = "[\\x20\\x09-\\x0D]+"
 #: What ``bytes.split()`` splits on is exactly that set; this table lower-cases A-Z and nothing else.
@@ -56,3 +58,8 @@ def slices(items: list, size: int) -> Iterable[list]:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def own_store(store: Storage) -> Storage:
+    """A place below ``store`` for the tables of one operator call; it goes when ``store`` is dropped."""
+    return Storage(store.spark, store.folder)

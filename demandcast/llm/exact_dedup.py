@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import whole_text, with_row_id
+from demandcast.llm.common import fresh_name, own_store, whole_text, with_row_id
 from demandcast.sources.storage import Storage
 
 BLOCK_BYTES = 4096
@@ -45,6 +45,7 @@ def name_documents(
     ``row`` numbers the rows of ``docs``. A null text counts as empty, and an empty text is one
     empty block. An empty table gives no rows. ``digest`` may collide: that costs time only.
     """
+    store = own_store(store)
     body = F.encode(whole_text(text), "UTF-8")
     base = with_row_id(docs.select("doc_id", body.alias("body")), "row")
     heads = store.table(
@@ -121,6 +122,7 @@ def exact_groups(docs: DataFrame, store: Storage, **options) -> DataFrame:
     doc_id one is kept; a null doc_id is the smallest. A group of any size costs one row in each
     task before the shuffle. Columns of ``docs`` other than doc_id and the text are ignored.
     """
+    store = own_store(store)
     named = store.table("named", name_documents(docs, store, **options))
     groups = store.table(
         "groups",
@@ -140,8 +142,6 @@ def exact_groups(docs: DataFrame, store: Storage, **options) -> DataFrame:
 
 def drop_exact_duplicates(docs: DataFrame, store: Storage, **options) -> DataFrame:
     """The kept rows of ``docs``, all columns. ``docs`` has to be a stored table: it is read again."""
-    from demandcast.llm.common import fresh_name
-
     row = fresh_name(docs, "row")
     kept = exact_groups(docs, store, **options).where("kept").select(F.col("row").alias(row))
     return with_row_id(docs, row).join(kept, row, "left_semi").drop(row)

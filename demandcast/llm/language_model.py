@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import fold, lower_words, whole_text, with_row_id
+from demandcast.llm.common import fold, lower_words, own_store, whole_text, with_row_id
 from demandcast.llm.lattice import Lattice, read_vocabulary
 from demandcast.llm.tokens import tokenizer_path
 from demandcast.sources.storage import Storage
@@ -179,6 +179,7 @@ def score_documents(docs: DataFrame, store: Storage, path: str | None = None, ro
     as empty; an empty text is one end. Null ids are in the fold of the empty text. An empty table
     gives no rows; without training documents the end alone is scored by its share of unknowns.
     """
+    store = own_store(store)
     path = path or tokenizer_path(VOCABULARY)
     language = F.coalesce(F.col("lang").cast("string"), F.lit("")) if "lang" in docs.columns else F.lit("")
     training = fold() != HELD_OUT_FOLD

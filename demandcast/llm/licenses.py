@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import whole_text, with_row_id
+from demandcast.llm.common import own_store, whole_text, with_row_id
 from demandcast.sources.storage import Storage
 
 # Short notices of well-known licenses, as their authors word them.
@@ -156,6 +156,7 @@ def scan_licenses(docs: DataFrame, store: Storage) -> DataFrame:
     ``at`` is the code point where the block begins in the whole text. Null and empty texts have
     none, repeated rows have theirs each. An empty table gives no rows.
     """
+    store = own_store(store)
     rows = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), "row")
     telling: Column = F.col("text").rlike(f"(?i){TELLING}")
 

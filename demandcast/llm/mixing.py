@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import WHITE_SPACE, fresh_name, with_row_id, whole_text
+from demandcast.llm.common import WHITE_SPACE, fresh_name, own_store, whole_text, with_row_id
 from demandcast.operators.joins import lookup_join
 from demandcast.sources.storage import Storage
 
@@ -133,6 +133,7 @@ def take_shares(docs: DataFrame, weights: DataFrame, store: Storage, share: floa
     a null text has none. Rows of one doc_id go together. An empty table gives no rows; sources
     without words are taken no time. The sums per source come within one document of the target.
     """
+    store = own_store(store)
     sized = store.table(
         "sized",
         with_row_id(docs.select("doc_id", F.col("source").cast("string").alias("source"), "text"), "row").select(

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import fresh_name, lower_words, partitions, whole_text, with_row_id
+from demandcast.llm.common import fresh_name, lower_words, own_store, partitions, whole_text, with_row_id
 from demandcast.sources.storage import Storage
 
 SHINGLE = 3
@@ -206,7 +206,7 @@ def near_groups(
     text counts as empty, a null doc_id is no candidate for the smallest (a group with null ids
     alone has null). An empty table gives no rows.
     """
-    size = 8 * len(seeds)
+    store, size = own_store(store), 8 * len(seeds)
     rows = store.table("prints", fingerprint_rows(docs, shingle, seeds))
     distinct = store.table("distinct", rows.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
     roots = store.table("roots", smallest_linked(near_links(distinct, size, radius, store), store))
