@@ -9,7 +9,7 @@ import re
 from datetime import timedelta
 
 from demandcast.catalog.inputs import AS_OF, END, LAST_ACTUAL, WINDOW_START
-from demandcast.catalog.queries import BACKTEST_ORIGINS, RUN_START, UPSERT_FROM
+from demandcast.catalog.queries import BACKTEST_LAUNCH, BACKTEST_ORIGINS, RUN_LAUNCH, RUN_START, UPSERT_FROM
 from demandcast.config import ForecastConfig
 
 CFG = ForecastConfig()
@@ -123,7 +123,7 @@ def recursion(facts: str, origin: str, steps: int) -> str:
                NULL::DOUBLE AS pred_model, NULL::DOUBLE AS pred_base, NULL::DOUBLE AS pred_final
         FROM (SELECT k.*, c.week_start,
                      CASE WHEN c.week_start >= (SELECT min(week_start) FROM {facts}) THEN coalesce(weekly_total, 0) END AS x
-              FROM ({density_of(facts, origin)}) k
+              FROM ({launched_density_of(facts, origin, steps)}) k
               CROSS JOIN (SELECT CAST({origin} - INTERVAL (7 * unnest(range(1, 53))) DAY AS DATE) AS week_start) c
               LEFT JOIN {facts} USING (chain_id, store_id, product_id, week_start))
         GROUP BY {K}
@@ -134,6 +134,16 @@ def recursion(facts: str, origin: str, steps: int) -> str:
         WHERE step + 1 < {steps}"""
 
 
+def launched_density_of(facts: str, origin: str, steps: int) -> str:
+    """Dense flag at the origin of every SKU that has sold by the end of the window."""
+    weeks = f"ceil(date_diff('day', (SELECT min(week_start) FROM {facts}), {origin}) / 7.0)"
+    before = f"FILTER (WHERE week_start < {origin})"
+    return f"""
+        SELECT {K}, coalesce(sum(weekly_total) {before}, 0) / {weeks} >= 3.0
+                    AND 1.0 - count(*) FILTER (WHERE weekly_total > 0 AND week_start < {origin}) / {weeks} <= 0.70 AS is_dense
+        FROM {facts} WHERE week_start < {origin} + {7 * steps} GROUP BY {K}"""
+
+
 def density_of(facts: str, origin: str) -> str:
     weeks = f"ceil(date_diff('day', (SELECT min(week_start) FROM {facts}), {origin}) / 7.0)"
     return f"""
@@ -410,20 +420,26 @@ NAMED = {
 }
 
 
+def launched_sales(day) -> dict[str, str]:
+    """Sales in which every fifth product is first sold on ``day``."""
+    return {"sales": f"SELECT * FROM ({NAMED['sales']}) WHERE product_id % 5 <> 2 OR sale_date >= {d(day)}"}
+
+
 def _needs(text: str) -> set[str]:
     return {n for n in NAMED if re.search(rf"\b{n}\b", text)}
 
 
-def _sql(body: str, recursive: str | None = None) -> str:
-    """Statement with the named subqueries it needs, in order of definition."""
+def _sql(body: str, recursive: str | None = None, instead: dict[str, str] | None = None) -> str:
+    """Statement with the named subqueries it needs, in order of definition; ``instead`` replaces some."""
+    named = NAMED | (instead or {})
     wanted, queue = set(), _needs(body + (recursive or ""))
     while queue:
         name = queue.pop()
         if name not in wanted:
             wanted.add(name)
-            queue |= _needs(NAMED[name]) - wanted
+            queue |= _needs(named[name]) - wanted
     parts = []
-    for name, text in NAMED.items():
+    for name, text in named.items():
         if recursive and name == "run_scored":
             parts.append(f"recursion AS ({recursive})")
             recursive = None
@@ -446,7 +462,7 @@ def _forecast(rows: str, digits: int = 6) -> str:
     return _sql(f"SELECT {K}, week_start, {r('forecast', digits)} AS forecast FROM ({rows})")
 
 
-def backtest_sql() -> str:
+def backtest_sql(instead: dict[str, str] | None = None) -> str:
     """All origins through the same recursion, with the origin as one more key."""
     origins = ", ".join(d(o) for o in BACKTEST_ORIGINS)
     model = "coalesce(list_avg(hist[41:52]), 0)"
@@ -459,11 +475,13 @@ def backtest_sql() -> str:
                NULL::DOUBLE AS pf
         FROM (SELECT k.*, CAST(k.origin - INTERVAL (7 * c.back) DAY AS DATE) AS week_start,
                      coalesce(w.weekly_total, 0) AS x
-              FROM (SELECT {K}, origin, sum(weekly_total) / any_value(weeks) >= 3.0
-                           AND 1.0 - count(*) FILTER (WHERE weekly_total > 0) / any_value(weeks) <= 0.70 AS is_dense
+              FROM (SELECT {K}, origin,
+                           coalesce(sum(weekly_total) FILTER (WHERE week_start < origin), 0) / any_value(weeks) >= 3.0
+                           AND 1.0 - count(*) FILTER (WHERE weekly_total > 0 AND week_start < origin) / any_value(weeks)
+                               <= 0.70 AS is_dense
                     FROM weekly, (SELECT origin, date_diff('day', (SELECT min(week_start) FROM weekly), origin) / 7.0
                                          AS weeks FROM (SELECT unnest([{origins}]) AS origin))
-                    WHERE week_start < origin GROUP BY {K}, origin) k
+                    WHERE week_start < origin + 28 GROUP BY {K}, origin) k
               CROSS JOIN (SELECT unnest(range(1, 53)) AS back) c
               LEFT JOIN weekly w ON k.chain_id = w.chain_id AND k.store_id = w.store_id
                   AND k.product_id = w.product_id AND w.week_start = k.origin - CAST(7 * c.back AS INTEGER))
@@ -480,6 +498,22 @@ def backtest_sql() -> str:
         LEFT JOIN weekly USING ({K}, week_start)
         GROUP BY origin""",
         recursive,
+        instead,
+    )
+
+
+def run_sql(instead: dict[str, str] | None = None) -> str:
+    """The whole forecast with the 12-week mean as model, over past and future weeks."""
+    return _sql(
+        f"""SELECT week_start, {K}, CAST(greatest(round_even(actual, 0), 0) AS BIGINT) AS actual,
+                   CAST(greatest(round_even(coalesce(forecast, 0), 0), 0) AS BIGINT) AS forecast,
+                   {r("pred_model")} AS pred_model, {r("pred_base")} AS pred_base
+            FROM (SELECT week_start, {K}, actual, forecast, pred_model, pred_base FROM run_nudged
+                  WHERE week_start <= {d(LAST_ACTUAL)}
+                  UNION ALL
+                  SELECT week_start, {K}, actual, forecast, pred_model, pred_base FROM run_smooth)""",
+        recursion("known", d(RUN_START + timedelta(days=1)), 20),
+        instead,
     )
 
 
@@ -629,6 +663,7 @@ def oracles() -> dict[str, str]:
             recursion("weekly", d(AS_OF), 4),
         ),
         "backtest_baseline": backtest_sql(),
+        "backtest_launches": backtest_sql(launched_sales(BACKTEST_LAUNCH)),
         "ensemble_weights": _sql(
             f"""SELECT {K}, {r("mae_model")} AS mae_model, {r("mae_base")} AS mae_base, {r("w_model")} AS w_model
                 FROM ({weights_of("scored")})"""
@@ -733,14 +768,6 @@ def oracles() -> dict[str, str]:
                     SELECT CASE WHEN max(wmape) FILTER (WHERE alpha = 0.0) > 0 THEN 0.25 END AS best FROM alpha_errors)
                 WHERE best IS NOT NULL"""
         ),
-        "forecast_run": _sql(
-            f"""SELECT week_start, {K}, CAST(greatest(round_even(actual, 0), 0) AS BIGINT) AS actual,
-                       CAST(greatest(round_even(coalesce(forecast, 0), 0), 0) AS BIGINT) AS forecast,
-                       {r("pred_model")} AS pred_model, {r("pred_base")} AS pred_base
-                FROM (SELECT week_start, {K}, actual, forecast, pred_model, pred_base FROM run_nudged
-                      WHERE week_start <= {d(LAST_ACTUAL)}
-                      UNION ALL
-                      SELECT week_start, {K}, actual, forecast, pred_model, pred_base FROM run_smooth)""",
-            recursion("known", d(RUN_START + timedelta(days=1)), 20),
-        ),
+        "forecast_run": run_sql(),
+        "forecast_run_launches": run_sql(launched_sales(RUN_LAUNCH)),
     }

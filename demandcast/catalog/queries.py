@@ -43,7 +43,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 BACKTEST_ORIGINS = [AS_OF - timedelta(weeks=4 * i) for i in range(6)]
+BACKTEST_LAUNCH = AS_OF - timedelta(weeks=6)
 RUN_START = date(2000, 5, 14)
+RUN_LAUNCH = date(2000, 7, 3)
 UPSERT_FROM = date(2000, 8, 21)
 RUN_DATE = date(2000, 9, 4)
 
@@ -402,21 +404,36 @@ def season_direction(spark, sf_dir):
 @query
 def recursive_baseline(spark, sf_dir):
     rows = weekly(spark, sf_dir)
-    state = build_state(rows, [AS_OF], panel.panel_start(rows), CFG)
+    state = build_state(rows, [AS_OF], panel.panel_start(rows), CFG, CFG.horizon_weeks)
     out = fold_forecast(state, CFG.horizon_weeks, rolling_mean)
     return rounded(out.drop("origin"), "pred_model", "pred_base", "pred_final")
 
 
-@query
-def backtest_baseline(spark, sf_dir):
-    """Error of six origins, four weeks apart, in one job."""
-    rows = weekly(spark, sf_dir)
+def _baseline_errors(rows):
     out = backtest.backtest(rows, BACKTEST_ORIGINS, panel.panel_start(rows), CFG)
     errors = metrics.wape(out, ["origin"])
     sizes = out.groupBy("origin").agg(F.count("*").alias("forecasts"), F.sum("actual").alias("actual"))
     return rounded(errors.join(sizes, "origin"), "wape")
 
 
+def launched(rows, day):
+    """Sales in which every fifth product is first sold on ``day``."""
+    return rows.where((F.col("product_id") % 5 != 2) | (F.col("sale_date") >= F.lit(day)))
+
+
+@query
+def backtest_baseline(spark, sf_dir):
+    """Error of six origins, four weeks apart, in one job."""
+    return _baseline_errors(stored_weekly(spark, sf_dir))
+
+
+@query
+def backtest_launches(spark, sf_dir):
+    """The same with products that are launched inside the window of one origin."""
+    some = launched(sales(spark, sf_dir), BACKTEST_LAUNCH)
+    return _baseline_errors(Storage(spark).table("weekly", panel.weekly_totals(panel.clean_sales(some))))
+
+
 # --- adjustments -----------------------------------------------------------------------------
 
 
@@ -638,10 +655,12 @@ def recursive_model(spark, sf_dir):
 
 @query
 def backtest_(spark, sf_dir):
-    """Error of two origins, each with its own model."""
-    rows, inputs, panel_rows, start = _stored_features(spark, sf_dir)
-    origins = BACKTEST_ORIGINS[:2]
-    out = backtest.backtest_model(panel_rows, rows, inputs, origins, start, CFG.recency_default, CFG)
+    """Error of all origins, each with its own model and its own seasonal profiles."""
+    storage = Storage(spark)
+    rows = storage.table("weekly", weekly(spark, sf_dir))
+    out = backtest.backtest_model(
+        rows, BACKTEST_ORIGINS, panel.panel_start(rows), CFG.recency_default, CFG, storage
+    )
     return metrics.wape(out, ["origin"])
 
 
@@ -659,6 +678,13 @@ def forecast_run(spark, sf_dir):
     return rounded(out, "pred_model", "pred_base")
 
 
+@query
+def forecast_run_launches(spark, sf_dir):
+    """The same with products that are first sold inside the window."""
+    some = launched(_known_sales(spark, sf_dir), RUN_LAUNCH)
+    return rounded(forecast(some, RUN_START, CFG, online=False, rule=rolling_mean), "pred_model", "pred_base")
+
+
 @query
 def forecast_run_model(spark, sf_dir):
     """Online forecast with boosted trees."""

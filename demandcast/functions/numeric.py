@@ -30,11 +30,6 @@ def is_finite(x: Column) -> Column:
     return x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
 
 
-def clip_or_default(x: Column, low: float = 0.0, high: float | None = None, default: float = 1.0) -> Column:
-    """Clip finite values, replace null, NaN and infinities by ``default``."""
-    return F.when(is_finite(x), clip(x, low, high)).otherwise(F.lit(float(default)))
-
-
 def shrink_and_clip(x: Column, shrink: float, low: float, high: float) -> Column:
     """Pull an index towards 1 and clip it; a missing or non-positive index is neutral."""
     pulled = F.lit(1.0) + F.lit(shrink) * (x - F.lit(1.0))

@@ -112,21 +112,30 @@ def residual_state(rows: DataFrame, last_actual: date, cfg: ForecastConfig = For
 def smoothed_residuals(fitted: DataFrame, cfg: ForecastConfig = ForecastConfig(), span: int | None = None) -> DataFrame:
     """Residual and its running smoothed value for every row of ``weekly_total`` and ``y_hat``.
 
-    The running value folds the SKU's residuals so far, at most one per week.
+    A SKU's rows, at most one per week, are one array in the order of weeks; one fold over it emits
+    all running values. A row without a residual keeps the value before it.
     """
     decay = F.lit(1.0 - 2.0 / ((span or cfg.nudge_span) + 1.0))
-    so_far = Window.partitionBy(*KEYS).orderBy("week_start").rowsBetween(Window.unboundedPreceding, 0)
-    folded = F.aggregate(
-        F.col("_so_far"),
-        F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("w")),
-        lambda acc, v: F.struct((acc["s"] * decay + v).alias("s"), (acc["w"] * decay + 1.0).alias("w")),
-        lambda acc: acc["s"] / acc["w"],
-    )
-    return (
-        fitted.withColumn("residual", F.col("weekly_total") - F.col("y_hat"))
-        .withColumn("_so_far", F.collect_list("residual").over(so_far))
-        .withColumn("resid_ewma", F.when(F.size("_so_far") >= cfg.nudge_min_points, folded))
-        .drop("_so_far")
+    rows = fitted.withColumn("residual", F.col("weekly_total") - F.col("y_hat"))
+    others = [c for c in rows.columns if c not in KEYS]
+    packed = F.struct("week_start", *[c for c in others if c != "week_start"])
+    number, count = F.lit(0.0), F.lit(0)
+
+    def step(acc: Column, row: Column) -> Column:
+        r = row["residual"]
+        s = F.when(r.isNull(), acc["s"]).otherwise(acc["s"] * decay + r)
+        w = F.when(r.isNull(), acc["w"]).otherwise(acc["w"] * decay + 1.0)
+        n = acc["n"] + F.when(r.isNull(), 0).otherwise(1)
+        value = F.when(n >= cfg.nudge_min_points, s / w)
+        return F.struct(s.alias("s"), w.alias("w"), n.alias("n"), F.concat(acc["out"], F.array(value)).alias("out"))
+
+    begin = F.struct(number.alias("s"), number.alias("w"), count.alias("n"), F.array().cast("array<double>").alias("out"))
+    sequences = rows.groupBy(*KEYS).agg(F.sort_array(F.collect_list(packed)).alias("_rows"))
+    running = F.aggregate("_rows", begin, step, lambda acc: acc["out"])
+    zipped = F.explode(F.arrays_zip(F.col("_rows").alias("row"), running.alias("resid_ewma")))
+    out = sequences.select(*KEYS, zipped.alias("_each"))
+    return out.select(
+        *[F.col(c) if c in KEYS else F.col(f"_each.row.{c}").alias(c) for c in rows.columns], "_each.resid_ewma"
     )
 
 

@@ -8,6 +8,7 @@ row per week, so no window partition outgrows the calendar.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
@@ -183,14 +184,19 @@ def category_codes(rows: DataFrame, column: str, slices: int = 64) -> DataFrame:
     )
 
 
-def add_category_codes(rows: DataFrame, ids_from: DataFrame | None = None, max_ids: int | None = None) -> DataFrame:
-    """Attach the code of chain, store and product; codes come from the whole id set of ``ids_from``."""
+def add_category_codes(
+    rows: DataFrame, ids_from: DataFrame | None = None, max_ids: Mapping[str, int] | None = None
+) -> DataFrame:
+    """Attach the code of chain, store and product; codes come from the whole id set of ``ids_from``.
+
+    ``max_ids`` has proven upper bounds of the number of ids by key. A key without one is joined by a salted shuffle.
+    """
     ids_from = rows if ids_from is None else ids_from
     out = rows
     for key, name in zip(KEYS, CODES):
         codes = category_codes(ids_from, key).withColumnRenamed("code", name)
         others = [k for k in KEYS if k != key]
-        out = lookup_join(out, codes, [key], others, max_rows=max_ids, spread=SPREAD_FINE)
+        out = lookup_join(out, codes, [key], others, max_rows=(max_ids or {}).get(key), spread=SPREAD_FINE)
     return out
 
 

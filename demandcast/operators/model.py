@@ -53,7 +53,7 @@ def feature_frame(
     return rows if profiles is None else with_model_features(rows, profiles)
 
 
-def sku_inputs(weekly: DataFrame, profiles: DataFrame, max_ids: int | None = None) -> DataFrame:
+def sku_inputs(weekly: DataFrame, profiles: DataFrame, max_ids: Mapping[str, int] | None = None) -> DataFrame:
     """Seasonal profiles with category codes: everything the model needs that is fixed per SKU."""
     return add_category_codes(profiles, weekly, max_ids)
 

@@ -35,39 +35,53 @@ def rolling_mean(features: Column) -> Column:
 
 
 def build_state(
-    weekly: DataFrame, origins: Sequence[date], start: date, cfg: ForecastConfig = ForecastConfig()
+    weekly: DataFrame,
+    origins: Sequence[date],
+    start: date,
+    cfg: ForecastConfig = ForecastConfig(),
+    horizon: int | None = None,
 ) -> DataFrame:
-    """One row per SKU and origin, from facts before the origin only.
+    """One row per SKU and origin, with values from facts before the origin only.
+
+    SKUs are those with facts before the end of ``horizon`` weeks from the origin, or all if it is
+    None: a product that is launched inside the window is forecast too, from an empty history
+    (sparse, baseline 0), and what it then sells counts as missed.
 
     Columns: ``hist`` (last 52 weeks, oldest first, null before ``start``), ``last_sale_no``,
     the three-month level, and the dense flag. All come out of one aggregation whose buffers
     have a fixed size, so it combines on the map side.
     """
-    facts = weekly.where(F.col("week_start") < F.lit(max(origins))).select(
+    facts = weekly.select(
         *KEYS,
         F.col("weekly_total").alias("x"),
         week_no(F.col("week_start")).alias("no"),
         month_no(F.col("week_start")).alias("month"),
     )
     nos = [week_no_of(o) for o in origins]
+    if horizon is not None:
+        facts = facts.where(F.col("no") < max(nos) + horizon)
     if len(nos) == 1:
         facts = facts.withColumn("origin_no", F.lit(nos[0]))
     else:
-        # each fact serves every origin after it
-        later = F.filter(F.array(*[F.lit(n) for n in nos]), lambda o: o > F.col("no"))
-        facts = facts.withColumn("origin_no", F.explode(later))
+        # each fact serves every origin whose window ends after it
+        serves = F.array(*[F.lit(n) for n in nos])
+        if horizon is not None:
+            serves = F.filter(serves, lambda o: o + horizon > F.col("no"))
+        facts = facts.withColumn("origin_no", F.explode(serves))
     # an origin may be a Sunday; its first forecast week is the Monday on or after it
     age = F.col("origin_no") - F.col("no")
     first_no = week_no_of(start)
     month_of_origin = month_no(monday_of_no(F.col("origin_no")))
     months_back = month_of_origin - F.col("month")
+    before = age > 0
+    sold = before & (F.col("x") > 0)
     past = [F.sum(F.when(age == k, F.col("x"))).alias(f"_w{k}") for k in range(STATE_WEEKS, 0, -1)]
     state = facts.groupBy(*KEYS, "origin_no").agg(
         *past,
-        F.max(F.when(F.col("x") > 0, F.col("no"))).alias("last_sale_no"),
-        F.coalesce(F.sum(F.when(months_back.between(1, 3), F.col("x"))), F.lit(0.0)).alias("sku_3m_sum"),
-        F.sum("x").alias("_total"),
-        F.count(F.when(F.col("x") > 0, True)).alias("_nonzero"),
+        F.max(F.when(sold, F.col("no"))).alias("last_sale_no"),
+        F.coalesce(F.sum(F.when(before & months_back.between(1, 3), F.col("x"))), F.lit(0.0)).alias("sku_3m_sum"),
+        F.coalesce(F.sum(F.when(before, F.col("x"))), F.lit(0.0)).alias("_total"),
+        F.count(F.when(sold, True)).alias("_nonzero"),
     )
     gap = F.lit(cfg.gap_fill).cast("double")
     hist = [

@@ -108,8 +108,11 @@ def forecast(
     date_as_int: bool = False,
     model_folder: str | None = None,
     storage: Storage | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
-    """Forecast every eligible SKU for the window's weeks.
+    """Forecast every eligible SKU for the window's weeks, ``ordered`` by week and SKU.
+
+    SKUs that first sell inside the window are forecast as well.
 
     ``sales`` has ``chain_id, store_id, product_id, sale_date, qty``. Without ``rule``,
     boosted trees are fitted per calendar month of the window; with it, that column expression is
@@ -137,14 +140,14 @@ def forecast(
     if start is None:
         return empty_forecast(sales.sparkSession)
 
-    state = build_state(weekly, [weeks[0]], start, cfg)
+    state = build_state(weekly, [weeks[0]], start, cfg, len(weeks))
     if rule is not None:
         predictions = fold_forecast(state, len(weeks), rule)
     else:
         profiles = sku_profiles(
             weekly, origin, start, cfg, facts.chains, facts.chain_products, facts.products, chain_weeks
         )
-        inputs = storage.table("sku_inputs", sku_inputs(weekly, profiles, max_ids=facts.products))
+        inputs = storage.table("sku_inputs", sku_inputs(weekly, profiles, {"chain_id": facts.chains, "product_id": facts.products}))
         predictor = fit_month_models(weekly, inputs, origin, weeks, start, cfg, model_folder, storage)
         predictions = model_forecast(state.join(inputs, KEYS, "left"), len(weeks), predictor, weeks[0], cfg)
     raw = storage.table("raw", predictions)
@@ -159,7 +162,7 @@ def forecast(
     rows = adjust_future(
         rows, year_ago, chain_weeks, origin, start, last_actual, facts.chains, groups, cfg, history, storage
     )
-    return final_output(rows, weeks[0], weeks[-1], date_as_int)
+    return final_output(rows, weeks[0], weeks[-1], date_as_int, ordered)
 
 
 def between_weeks(weekly: DataFrame, first: date, last: date) -> DataFrame:
@@ -233,11 +236,22 @@ def run_and_publish(
 ) -> DataFrame:
     """Forecast, then replace the window's rows of this algorithm in the target table.
 
-    Returns the upload rows read back from storage. ``publish(rows, target_path)`` may replace
-    the Parquet sink, for instance by a JDBC staging write.
+    Returns the upload rows: those the target now holds for this algorithm and the window's dates,
+    after which the run's tables are dropped. ``publish(rows, target_path)`` may replace the
+    Parquet sink, for instance by a JDBC staging write; the rows are then read from the run's tables,
+    which stay. So do those of a ``storage`` that is passed in.
     """
+    own = options.get("storage") is None
     storage = options.pop("storage", None) or Storage(sales.sparkSession)
-    out = forecast(sales, as_of, cfg, storage=storage, **options)
+    out = forecast(sales, as_of, cfg, storage=storage, ordered=False, **options)
     upload = storage.table("upload", upload_projection(out, algo_id))
-    (publish or write_replace_window)(upload, target_path)
-    return upload
+    if publish is not None or not own:
+        (publish or write_replace_window)(upload, target_path)
+        return upload
+    dates = [r["date_key"] for r in upload.select("date_key").distinct().collect()]  # one row per week
+    write_replace_window(upload, target_path)
+    storage.drop()
+    if not dates:
+        return sales.sparkSession.createDataFrame([], upload.schema)
+    held = sales.sparkSession.read.schema(upload.schema).parquet(target_path)
+    return held.where((F.col("algo_id") == algo_id) & F.col("date_key").isin(dates))

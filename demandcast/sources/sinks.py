@@ -47,14 +47,17 @@ def replace_window(target: DataFrame, new: DataFrame) -> DataFrame:
     return kept.select(*new.columns).unionByName(new)
 
 
-def write_replace_window(new: DataFrame, path: str, files_per_date: int = 16) -> None:
+def write_replace_window(new: DataFrame, path: str, tasks_per_date: int | None = None, rows_per_file: int = 5_000_000) -> None:
     """Replace the partitions of the new rows' algorithm and dates; all others stay untouched.
 
-    A date's rows are dealt to ``files_per_date`` tasks.
+    A date's rows are dealt to as many tasks as there are shuffle partitions, unless told
+    otherwise; small ones are put together again by the engine. Files hold ``rows_per_file`` at most.
     """
+    tasks = tasks_per_date or int(new.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        new.repartition("algo_id", "date_key", F.pmod(F.xxhash64("store_id", "product_id"), F.lit(files_per_date)))
+        new.repartition("algo_id", "date_key", F.pmod(F.xxhash64("store_id", "product_id"), F.lit(tasks)))
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", rows_per_file)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("algo_id", "date_key")
         .parquet(path)
@@ -74,8 +77,8 @@ def write_jdbc(rows: DataFrame, options: Mapping[str, str]) -> None:
     rows.write.format("jdbc").options(**options).mode("append").save()
 
 
-def final_output(rows: DataFrame, first: date, last: date, date_as_int: bool = False) -> DataFrame:
-    """Whole non-negative quantities in the window, in output order."""
+def final_output(rows: DataFrame, first: date, last: date, date_as_int: bool = False, ordered: bool = True) -> DataFrame:
+    """Whole non-negative quantities in the window, in output order unless the rows are written to partitions."""
     out = rows.where(F.col("week_start").between(F.lit(first), F.lit(last))).select(
         *OUTPUT_ORDER,
         round_half_even(F.col("actual")).alias("actual"),
@@ -85,7 +88,7 @@ def final_output(rows: DataFrame, first: date, last: date, date_as_int: bool = F
     )
     if date_as_int:
         out = out.withColumn("week_start", to_date_key(F.col("week_start")))
-    return out.orderBy(*OUTPUT_ORDER)
+    return out.orderBy(*OUTPUT_ORDER) if ordered else out
 
 
 def write_forecast(rows: DataFrame, path: str, file_format: str = "parquet") -> None:

@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from demandcast.catalog.oracles import oracles as oracle_sql
+from demandcast.catalog.queries import QUERIES
 from check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,15 +16,15 @@ def db():
 
 
 def test_all_oracles_have_a_query():
-    assert set(oracle_sql()) <= set(queries())
-    assert set(queries()) - set(oracle_sql()) == {
+    assert set(oracle_sql()) <= set(QUERIES)
+    assert set(QUERIES) - set(oracle_sql()) == {
         "model_fitted", "predict_model", "lambda_scores", "recursive_model", "backtest", "forecast_run_model"
     }
 
 
 @pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_matches_sql(spark, db, name):
-    ours = queries()[name](spark, SF_DIR).toPandas()
+    ours = QUERIES[name](spark, SF_DIR).toPandas()
     assert compare(ours, db.sql(oracle_sql()[name]).df()) == ""
 
 

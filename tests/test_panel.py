@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from demandcast.config import ForecastConfig
 from demandcast.functions.calendar import align_sunday, months_before, week_start
-from demandcast.functions.numeric import clip_or_default, safe_div, shrink_and_clip
+from demandcast.functions.numeric import safe_div, shrink_and_clip
 from demandcast.operators import panel
 from demandcast.operators.joins import lookup_join
 from demandcast.operators.seasonality import covered_months
@@ -126,15 +126,12 @@ def test_helpers(spark):
         safe_div(F.lit(1.0), F.lit(0.0)),
         safe_div(F.lit(1.0), F.lit(None).cast("double"), 5.0),
         safe_div(F.lit(1.0), F.lit(4.0)),
-        clip_or_default(F.lit(float("nan"))),
-        clip_or_default(F.lit(3.0), 0.0, 2.0),
-        clip_or_default(F.lit(-3.0)),
         shrink_and_clip(F.lit(3.0), 0.5, 0.8, 1.2),
         shrink_and_clip(F.lit(1.2), 0.5, 0.8, 1.2),
         shrink_and_clip(F.lit(0.0), 0.5, 0.8, 1.2),
         shrink_and_clip(F.lit(float("inf")), 0.5, 0.8, 1.2),
     )
-    assert [round(v, 9) for v in one.first()] == [0.0, 5.0, 0.25, 1.0, 2.0, 0.0, 1.2, 1.1, 1.0, 1.0]
+    assert [round(v, 9) for v in one.first()] == [0.0, 5.0, 0.25, 1.2, 1.1, 1.0, 1.0]
 
 
 def test_month_arithmetic():

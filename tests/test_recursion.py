@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from demandcast.config import ForecastConfig
-from demandcast.operators.features import add_history
+from demandcast.operators.features import HISTORY, add_history
 from demandcast.operators.panel import dense_panel, sku_density
 from demandcast.operators.recursion import build_state, fold_forecast, model_forecast
 from demandcast.plans.backtest import backtest
@@ -83,10 +83,7 @@ def test_first_step_features_equal_those_of_the_grid(weekly, gap_fill):
         return frame.withColumn("pred_model", F.lit(0.0))
 
     model_forecast(build_state(rows, [origin], start, cfg), 1, spy, origin, cfg)
-    names = [
-        "lag_1w", "lag_2w", "lag_3w", "lag_52w", "roll3w", "roll12w", "nonzero_12w", "avg_nonzero_12w",
-        "weeks_since_last_sale", "volatility_3w", "zero_run_length_6w", "diff_1w", "diff_2w",
-    ]
+    names = HISTORY
     grid = add_history(dense_panel(known, origin, start), start, cfg).where(F.col("week_start") == F.lit(origin))
     pd.testing.assert_frame_equal(
         ordered(seen["frame"].select(*KEYS, "week_start", *names).toPandas()),
@@ -121,3 +118,15 @@ def test_later_actuals_do_not_matter(weekly):
     outs = [fold_forecast(build_state(r, [monday(70)], monday(0)), 5).toPandas() for r in (rows, cut)]
     pd.testing.assert_frame_equal(ordered(outs[0]), ordered(outs[1]))
     assert isinstance(outs[0].week_start.iloc[0], date)
+
+
+def test_products_launched_inside_the_window_count_as_missed(weekly):
+    facts = {(1, 1, 1): {monday(n): 10.0 for n in range(80)}, (1, 1, 2): {monday(n): 40.0 for n in range(72, 80)}}
+    rows, late = weekly(facts), F.col("product_id") == 2
+    state = build_state(rows, [monday(70)], monday(0), horizon=4)
+    empty = state.where(late).first()
+    assert not empty.is_dense and empty.last_sale_no is None and empty.sku_3m_sum == 0 and set(empty.hist) == {0.0}
+    assert build_state(rows, [monday(60)], monday(0), horizon=4).where(late).count() == 0
+    out = backtest(rows, [monday(60), monday(70)], monday(0))
+    missed = out.where(late).toPandas()
+    assert missed.origin.nunique() == 1 and missed.forecast.tolist() == [0.0] * 4 and missed.actual.sum() == 80.0
