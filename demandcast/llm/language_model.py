@@ -40,7 +40,7 @@ from demandcast.sources.storage import Storage
 VOCABULARY = "piece_bpe_32k.model"
 CHUNK_BYTES = 24 << 20
 WORDS_AT_ONCE = 50_000
-ROUNDS = 4
+ROUNDS = 3
 HELD_OUT_FOLD = 1
 #: Most classes; documents in rarer languages share the last.
 CLASSES = 8
@@ -101,6 +101,18 @@ def _chunk_words(rows: DataFrame, classes: int) -> DataFrame:
     return rows.select("row", "class", "text").mapInArrow(run, schema)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at least ``rows``, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _words(batch: pa.RecordBatch, column: int) -> list[str]:
     return [w.decode("utf-8") for w in batch.column(column).to_pylist()]
 
@@ -115,16 +127,20 @@ def fit_pieces(words: DataFrame, classes: int, path: str, rounds: int = ROUNDS)
     weights = np.tile(start, (classes, 1))
     names = [f"u{k}" for k in range(classes)]
     for _ in range(rounds):
-        held = spark.sparkContext.broadcast([Lattice(pieces, np.log(w[None, :])) for w in weights])
+        held = spark.sparkContext.broadcast(Lattice(pieces, np.log(weights)))
 
         def expect(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             counts = np.zeros((classes, len(pieces)))
+            lattices = [held.value.of_class(k) for k in range(classes)]
+            waiting: list[list[str]] = [[] for _ in range(classes)]  # long runs of words make long vectors
             for batch in batches:
-                for low in range(0, len(batch), WORDS_AT_ONCE):
-                    some = batch.slice(low, WORDS_AT_ONCE)
-                    for k in range(classes):
-                        used = some.filter(pa.compute.greater(some.column(1 + k), 0))
-                        held.value[k].run(_words(used, 0), counts[k])
+                for k, some in enumerate(waiting):
+                    some += _words(batch.filter(pa.compute.greater(batch.column(1 + k), 0)), 0)
+                    if len(some) >= WORDS_AT_ONCE:
+                        lattices[k].run(some, counts[k])
+                        some.clear()
+            for k, some in enumerate(waiting):
+                lattices[k].run(some, counts[k])
             at = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts.reshape(-1)[at])], names=["piece", "uses"])
 
@@ -208,16 +224,14 @@ def score_documents(docs: DataFrame, store: Storage, path: str | None = None, ro
     lattice = docs.sparkSession.sparkContext.broadcast(fit_pieces(words, classes, path, rounds))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, len(batch), WORDS_AT_ONCE):
-                some = batch.slice(low, WORDS_AT_ONCE)
-                uses = np.stack([some.column(1 + k).to_numpy() for k in range(classes)])
-                unknown = lattice.value.run(_words(some, 0))
-                weight = known_class.log10(uses, unknown) if tokens else (unknown + math.log1p(-END_SHARE)) / math.log(10)
-                held = [pa.array(w.astype(np.float32)) for w in weight]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(uses.sum(axis=0)), *held], names=["word", "uses", *weights]
-                )
+        for some in _gathered(batches, WORDS_AT_ONCE):
+            uses = np.stack([some.column(1 + k).to_numpy() for k in range(classes)])
+            unknown = lattice.value.run(_words(some, 0))
+            weight = known_class.log10(uses, unknown) if tokens else (unknown + math.log1p(-END_SHARE)) / math.log(10)
+            held = [pa.array(w.astype(np.float32)) for w in weight]
+            yield pa.RecordBatch.from_arrays(
+                [some.column(0), pa.array(uses.sum(axis=0)), *held], names=["word", "uses", *weights]
+            )
 
     weights = [f"w{k}" for k in range(classes)]
     weighed = store.table(

@@ -7,6 +7,7 @@ probabilities sum to at most 1. Sums run in log space; many words of one length
 
 from __future__ import annotations
 
+import copy
 import math
 from array import array
 from dataclasses import dataclass, field
@@ -74,6 +75,12 @@ class Lattice:
                 at = (at + 1) % len(self.keys)
             self.keys[at], self.values[at] = key, value
 
+    def of_class(self, k: int) -> Lattice:
+        """One class alone, over the same trie."""
+        own = copy.copy(self)
+        own.logp = self.logp[k : k + 1]
+        return own
+
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * MIX) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
