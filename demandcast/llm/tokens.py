@@ -23,7 +23,7 @@ RUN = re.compile(r"\s\s")
 UNUSUAL = re.compile(r"[^\S \t\r\n][ \t\r\n]")
 PLAIN = re.compile(r"[ \t\r\n]+")
 ENCODE_AT_ONCE = 4096
-KEEP_CHUNKS = 1_000_000
+KEEP_CHUNKS = 1_600_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -57,9 +57,9 @@ class ChunkEncoder:
 
     def parts(self, chunk: str) -> tuple[str, str]:
         """Letters and the punctuation after them never merge either; word-level ids ignore the case."""
-        base = chunk.rstrip(string.punctuation)
-        cut = len(base) if base and base[-1].isalpha() else len(chunk)
-        base, tail = chunk[:cut], chunk[cut:]
+        base, tail = chunk.rstrip(string.punctuation), ""
+        if len(base) < len(chunk):
+            base, tail = (base, chunk[len(base) :]) if base[-1:].isalpha() else (chunk, "")
         return (base.lower() if not self.spaces and base.isascii() else base), tail
 
     def learn(self, new: list[str]) -> None:
@@ -73,9 +73,9 @@ class ChunkEncoder:
         if len(known) > KEEP_CHUNKS:
             known.clear()
         new = {c: self.parts(c) for c in set(chain.from_iterable(cut)).difference(known)}
-        self.learn([p for p in set(chain.from_iterable(new.values())) if p not in known])
+        self.learn([p for p in set(chain.from_iterable(new.values())).difference(known) if p])
         for chunk, (base, tail) in new.items():
-            known[chunk] = known[base] + known[tail]
+            known[chunk] = known[base] + known[tail] if tail else known[base]
         return [b"".join(map(known.__getitem__, chunks)) for chunks in cut]
 
 
