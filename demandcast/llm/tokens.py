@@ -45,7 +45,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.tokenizer.encode_special_tokens = True
         self.spaces = spaces
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
 
     def chunks(self, text: str) -> list[str]:
         if not self.spaces:
@@ -72,6 +72,7 @@ class ChunkEncoder:
         known = self.known
         if len(known) > KEEP_CHUNKS:
             known.clear()
+            known[""] = b""
         new = {c: self.parts(c) for c in set(chain.from_iterable(cut)).difference(known)}
         self.learn([p for p in set(chain.from_iterable(new.values())).difference(known) if p])
         for chunk, (base, tail) in new.items():
