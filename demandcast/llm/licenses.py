@@ -173,7 +173,7 @@ def scan_licenses(docs: DataFrame, store: Storage) -> DataFrame:
                 [pa.array(list(c), t) for c, t in zip(columns, types)], names=["row", "doc_id", "at", "block"]
             )
 
-    blocks = rows.where(telling).mapInArrow(cut, "row long, doc_id long, at long, block string")
+    blocks = rows.where(telling).select("row", "doc_id", "text").mapInArrow(cut, "row long, doc_id long, at long, block string")
     blocks = store.table("blocks", blocks)
     found_type = "block string, license string, rank int, saved double, covered double, missing array<string>, between array<string>"
     schema = pa.schema(
