@@ -9,7 +9,7 @@ import re
 from datetime import timedelta
 
 from demandcast.catalog.inputs import AS_OF, END, LAST_ACTUAL, WINDOW_START
-from demandcast.catalog.queries import BACKTEST_LAUNCH, BACKTEST_ORIGINS, RUN_LAUNCH, RUN_START, UPSERT_FROM
+from demandcast.catalog.queries import BACKTEST_LAUNCH, BACKTEST_ORIGINS, RUN_DATE, RUN_LAUNCH, RUN_START, UPSERT_FROM
 from demandcast.config import ForecastConfig
 
 CFG = ForecastConfig()
@@ -517,6 +517,28 @@ def run_sql(instead: dict[str, str] | None = None) -> str:
     )
 
 
+def replaced_window(key: str, in_window: str) -> str:
+    """Both algorithms' rows, those of the first replaced in the window."""
+    replaced = f"(week_start >= {d(UPSERT_FROM)} AND {in_window})"
+    return f"""
+        SELECT {K}, {key} AS date_key, weekly_total AS forecast, algo_id
+        FROM weekly CROSS JOIN (SELECT unnest([1, 2]) AS algo_id)
+        WHERE algo_id = 2 OR NOT {replaced}
+        UNION ALL
+        SELECT {K}, {key}, weekly_total + 0.5, 1 FROM weekly WHERE {replaced}"""
+
+
+def bias_sql(more: str) -> str:
+    """Bias factors. A blend factor replaces the one chosen so far if it lowers the error by over 2 %."""
+    fold = "lambda best, s: CASE WHEN s.wmape < best.wmape * 0.98 THEN s ELSE best END"
+    return f"""
+        SELECT chain_id, month_num, {r("least(greatest(1 + best * (a / f - 1), 0.90), 1.10)")} AS bias_factor{more}
+        FROM bias_groups CROSS JOIN (
+            SELECT nullif(list_reduce(list({{'alpha': alpha, 'wmape': wmape}} ORDER BY alpha), {fold}).alpha, 0.0) AS best
+            FROM alpha_errors)
+        WHERE best IS NOT NULL"""
+
+
 def oracles() -> dict[str, str]:
     key = "CAST(strftime(week_start, '%Y%m%d') AS INTEGER)"
     return {
@@ -542,13 +564,17 @@ def oracles() -> dict[str, str]:
                 SELECT week_start, {K}, actual, forecast + 1, {d(AS_OF)} FROM history_rows
                 WHERE week_start >= {d(UPSERT_FROM)}"""
         ),
-        "replace_window": _sql(
-            f"""SELECT {K}, {key} AS date_key, weekly_total AS forecast, algo_id
-                FROM weekly CROSS JOIN (SELECT unnest([1, 2]) AS algo_id)
-                WHERE algo_id = 2 OR week_start < {d(UPSERT_FROM)}
+        "stored_history_upsert": _sql(
+            f"""SELECT week_start, {K}, CAST(floor(actual) AS DOUBLE) AS actual, CAST(floor(forecast) AS DOUBLE) AS forecast,
+                       CASE WHEN week_start < {d(UPSERT_FROM - timedelta(weeks=30))} THEN {d(RUN_DATE - timedelta(days=2))}
+                            ELSE {d(RUN_DATE - timedelta(days=1))} END AS forecast_run_date
+                FROM history_rows WHERE week_start < {d(UPSERT_FROM)}
                 UNION ALL
-                SELECT {K}, {key}, weekly_total + 0.5, 1 FROM weekly WHERE week_start >= {d(UPSERT_FROM)}"""
+                SELECT week_start, {K}, floor(actual), floor(forecast) + 1, {d(RUN_DATE)} FROM history_rows
+                WHERE week_start BETWEEN {d(UPSERT_FROM)} AND {d(UPSERT_FROM + timedelta(weeks=9))}"""
         ),
+        "replace_window": _sql(replaced_window(key, "TRUE")),
+        "stored_replace_window": _sql(replaced_window(key, f"week_start <= DATE '2000-10-31'")),
         "upload_projection": _sql(
             f"""SELECT CASE WHEN product_id % 4 = 1 THEN 0 ELSE {key} END AS date_key, {K},
                        CASE WHEN store_id % 3 = 0 THEN 0.0 ELSE weekly_total END AS forecast,
@@ -760,14 +786,8 @@ def oracles() -> dict[str, str]:
                                   FROM one_step GROUP BY ALL ORDER BY m DESC LIMIT 6)))"""
         ),
         "bias_alpha_errors": _sql(f"SELECT alpha, {r('wmape')} AS wmape FROM alpha_errors"),
-        "bias_table": _sql(
-            f"""SELECT chain_id, month_num,
-                       {r("least(greatest(1 + best * (a / f - 1), 0.90), 1.10)")} AS bias_factor
-                FROM bias_groups CROSS JOIN (
-                    -- each factor beats all smaller ones by the same share, so the largest one wins if it helps
-                    SELECT CASE WHEN max(wmape) FILTER (WHERE alpha = 0.0) > 0 THEN 0.25 END AS best FROM alpha_errors)
-                WHERE best IS NOT NULL"""
-        ),
+        "bias_table": _sql(bias_sql("")),
+        "stored_bias_table": _sql(bias_sql(f", {d(RUN_DATE)} AS run_date")),
         "forecast_run": run_sql(),
         "forecast_run_launches": run_sql(launched_sales(RUN_LAUNCH)),
     }

@@ -33,10 +33,20 @@ from demandcast.operators import features as feat
 from demandcast.operators import model as trees
 from demandcast.operators.recursion import build_state, fold_forecast, model_forecast, rolling_mean
 from demandcast.plans import backtest
+from demandcast.plans.batch import run_batch
+from demandcast.plans.bias import update_bias
 from demandcast.plans.forecast import forecast
-from demandcast.sources.history import history_before_run, history_upsert
+from demandcast.sources.history import (
+    FILE_NAMES,
+    append_history,
+    history_before_run,
+    history_upsert,
+    read_forecasts_csv,
+    read_history,
+    write_history_upsert,
+)
 from demandcast.sources.sales import norm_columns, read_sales_csv
-from demandcast.sources.sinks import final_output, replace_window, upload_projection
+from demandcast.sources.sinks import final_output, replace_window, upload_projection, write_forecast, write_replace_window
 from demandcast.sources.storage import Storage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -149,7 +159,23 @@ def history_upsert_(spark, sf_dir):
 
 
 @query
-def replace_window_(spark, sf_dir):
+def stored_history_upsert(spark, sf_dir):
+    """The same through stored history: two runs are appended, the second's weeks are replaced in place."""
+    rows, path = _history(spark, sf_dir), f"{Storage(spark).folder}/history"
+    stored = rows.select(
+        "week_start", *KEYS, "actual", "forecast", F.lit(0.0).alias("pred_model"), F.lit(0.0).alias("pred_base")
+    ).withColumns({c: F.col(c).cast("bigint") for c in ("actual", "forecast")})
+    early = F.col("week_start") < F.lit(UPSERT_FROM - timedelta(weeks=30))
+    append_history(stored.where(early), RUN_DATE - timedelta(days=2), path)
+    append_history(stored.where(~early), RUN_DATE - timedelta(days=1), path)
+    new = stored.where(F.col("week_start").between(F.lit(UPSERT_FROM), F.lit(UPSERT_FROM + timedelta(weeks=9))))
+    write_history_upsert(new.withColumn("forecast", F.col("forecast") + 1), RUN_DATE, path)
+    return read_history(spark, path, RUN_DATE + timedelta(days=1)).select(
+        "week_start", *KEYS, "actual", "forecast", "forecast_run_date"
+    )
+
+
+def _window(spark, sf_dir):
     rows = weekly(spark, sf_dir).select(
         *KEYS, to_date_key(F.col("week_start")).alias("date_key"), F.col("weekly_total").alias("forecast")
     )
@@ -157,7 +183,22 @@ def replace_window_(spark, sf_dir):
     new = rows.where(F.col("date_key") >= 20000821).select(
         *KEYS, "date_key", (F.col("forecast") + 0.5).alias("forecast"), F.lit(1).alias("algo_id")
     )
-    return replace_window(target, new)
+    return target, new
+
+
+@query
+def replace_window_(spark, sf_dir):
+    return replace_window(*_window(spark, sf_dir))
+
+
+@query
+def stored_replace_window(spark, sf_dir):
+    """The same through a partitioned target."""
+    path = f"{Storage(spark).folder}/target"
+    target, new = _window(spark, sf_dir)
+    write_replace_window(target, path)
+    write_replace_window(new.where(F.col("date_key") <= 20001031), path)
+    return spark.read.parquet(path).select(*new.columns)
 
 
 
@@ -612,6 +653,18 @@ def bias_table(spark, sf_dir):
     return rounded(metrics.bias_table(weekly(spark, sf_dir), one_step(spark, sf_dir), CFG), "bias_factor")
 
 
+@query
+def stored_bias_table(spark, sf_dir):
+    """The bias table from forecast files, as the drift log keeps it."""
+    folder = Storage(spark).folder
+    files = one_step(spark, sf_dir).select("week_start", *KEYS, "actual", "forecast")
+    write_forecast(files.withColumnsRenamed({v: k for k, v in FILE_NAMES.items()}), f"{folder}/forecasts", "csv")
+    forecasts = read_forecasts_csv(spark, f"{folder}/forecasts")
+    update_bias(sales(spark, sf_dir), forecasts, RUN_DATE, f"{folder}/bias", f"{folder}/log", CFG)
+    held = spark.read.parquet(f"{folder}/bias").join(spark.read.parquet(f"{folder}/log"), ["chain_id", "month_num", "bias_factor"])
+    return rounded(held, "bias_factor")
+
+
 # --- model -----------------------------------------------------------------------------------
 
 
@@ -685,6 +738,15 @@ def forecast_run_launches(spark, sf_dir):
     return rounded(forecast(some, RUN_START, CFG, online=False, rule=rolling_mean), "pred_model", "pred_base")
 
 
+@query
+def batch_runs(spark, sf_dir):
+    """Two batch runs a month apart: the second forecasts with the history that the first has left."""
+    folder, known = Storage(spark).folder, _known_sales(spark, sf_dir)
+    for run, as_of in enumerate((RUN_START - timedelta(weeks=4), RUN_START)):
+        out = run_batch(known, as_of, f"{folder}/history", f"{folder}/forecast{run}", CFG, rule=rolling_mean)
+    return rounded(out, "pred_model", "pred_base")
+
+
 @query
 def forecast_run_model(spark, sf_dir):
     """Online forecast with boosted trees."""

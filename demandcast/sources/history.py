@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,7 @@ from demandcast.functions.calendar import parse_date
 from demandcast.functions.numeric import try_double
 from demandcast.operators.joins import attach_one_row
 from demandcast.sources.sales import require_columns
+from demandcast.sources.storage import Storage
 
 FORECAST_SCHEMA = T.StructType(
     [
@@ -77,7 +79,7 @@ def _stored_history(spark: SparkSession, path: str, file_format: str = "parquet"
 
 
 def read_history(spark: SparkSession, path: str, run_date: date, file_format: str = "parquet") -> DataFrame:
-    """Stored history before ``run_date``; whole run-date partitions are skipped. Empty if there is none."""
+    """Stored history of runs before ``run_date``, kept in a partition per week. Empty if there is none."""
     return history_before_run(_stored_history(spark, path, file_format), run_date)
 
 
@@ -98,16 +100,47 @@ def history_upsert(old: DataFrame, new: DataFrame, run_date: date) -> DataFrame:
     return kept.drop("_first").unionByName(new.withColumn("forecast_run_date", F.lit(run_date)))
 
 
+def _stamped(rows: DataFrame, run_date: date) -> DataFrame:
+    """Rows with their run date, in the columns and types of the history."""
+    stamped = rows.withColumn("forecast_run_date", F.lit(run_date))
+    return stamped.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in HISTORY_SCHEMA])
+
+
 def append_history(forecast: DataFrame, run_date: date, path: str) -> None:
-    """Add a run to the history as a partition of its own."""
-    stamped = forecast.withColumn("forecast_run_date", F.lit(run_date))
-    stamped.write.mode("append").partitionBy("forecast_run_date").parquet(path)
-
-
-def write_history_upsert(old_path: str, new: DataFrame, run_date: date, target_path: str) -> None:
-    """Upsert into a new folder: the one being read is never overwritten."""
-    if old_path.rstrip("/") == target_path.rstrip("/"):
-        raise ValueError("target_path must differ from old_path")
-    old = _stored_history(new.sparkSession, old_path)
-    merged = history_upsert(old, new, run_date).select(*HISTORY_SCHEMA.names)
-    merged.write.mode("errorifexists").partitionBy("forecast_run_date").parquet(target_path)
+    """Add a run to the history; its rows join the partitions of their weeks."""
+    _stamped(forecast, run_date).write.mode("append").partitionBy("week_start").parquet(path)
+
+
+def write_history_upsert(new: DataFrame, run_date: date, path: str, storage: Storage | None = None) -> None:
+    """Replace the history from the first new week on by the new rows, in place.
+
+    Only partitions of weeks from there on are written or dropped; all earlier ones stay untouched.
+    ``new`` is stored first, as it may have been computed from the history. A run that broke off
+    can be repeated. Without new rows nothing changes.
+    """
+    own = storage is None
+    storage = storage or Storage(new.sparkSession)
+    new = storage.table("history_new", new)
+    weeks = {r["week_start"] for r in new.select("week_start").distinct().collect()}  # one row per week
+    if weeks:
+        stamped = _stamped(new, run_date)
+        (
+            stamped.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("week_start")
+            .parquet(path)
+        )
+        drop_partitions(new.sparkSession, path, lambda week: week >= min(weeks) and week not in weeks)
+    if own:
+        storage.drop()
+
+
+def drop_partitions(spark: SparkSession, path: str, chosen: Callable[[date], bool]) -> None:
+    """Delete the week partitions of a stored history for which ``chosen`` holds."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(folder):
+        name = entry.getPath().getName()
+        if name.startswith("week_start=") and name != "week_start=__HIVE_DEFAULT_PARTITION__":
+            if chosen(date.fromisoformat(name.partition("=")[2])):
+                files.delete(entry.getPath(), True)

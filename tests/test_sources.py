@@ -1,13 +1,13 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandcast.operators.panel import clean_sales
 from demandcast.sources.history import (
     FORECAST_SCHEMA,
     append_history,
     empty_forecast,
-    history_upsert,
     read_forecasts_csv,
     read_history,
     write_history_upsert,
@@ -113,21 +113,19 @@ def test_history_append_and_read(spark, tmp_path):
 
 
 def test_history_upsert_replaces_overlap_and_survives_a_second_run(spark, tmp_path):
-    first, second, third = (str(tmp_path / n) for n in "abc")
-    run_day = date(2025, 9, 9)
-    write_history_upsert(first, _run(spark, date(2025, 9, 1), date(2025, 9, 8), date(2025, 9, 15)), date(2025, 9, 1), second)
-    new = _run(spark, date(2025, 9, 8), date(2025, 9, 15))
-    write_history_upsert(second, new, run_day, third)
-    rows = spark.read.parquet(third).orderBy("week_start").select("week_start", "forecast_run_date").collect()
-    assert [tuple(r) for r in rows] == [
-        (date(2025, 9, 1), date(2025, 9, 1)),
-        (date(2025, 9, 8), run_day),
-        (date(2025, 9, 15), run_day),
-    ]
-    again = history_upsert(spark.read.parquet(third), new, run_day)
-    assert again.count() == 3
-    with pytest.raises(ValueError, match="differ"):
-        write_history_upsert(third, new, run_day, third + "/")
+    path, run_day = str(tmp_path / "history"), date(2025, 9, 9)
+    weeks = [date(2025, 9, d) for d in (1, 8, 15, 22)]
+    write_history_upsert(_run(spark, *weeks), date(2025, 9, 1), path)
+    untouched = [f.name for f in (tmp_path / "history" / "week_start=2025-09-01").iterdir()]
+    for _ in range(2):
+        # what is written may come from the history itself; the week that the new run lacks goes
+        new = read_history(spark, path, date(2025, 9, 30)).drop("forecast_run_date").where(F.col("week_start").isin(weeks[1:3]))
+        write_history_upsert(new.select(*FORECAST_SCHEMA.names), run_day, path)
+        rows = read_history(spark, path, date(2025, 9, 30)).orderBy("week_start").select("week_start", "forecast_run_date")
+        assert [tuple(r) for r in rows.collect()] == [(weeks[0], date(2025, 9, 1)), (weeks[1], run_day), (weeks[2], run_day)]
+    assert untouched == [f.name for f in (tmp_path / "history" / "week_start=2025-09-01").iterdir()]
+    write_history_upsert(_run(spark), run_day, path)
+    assert read_history(spark, path, date(2025, 9, 30)).count() == 3
 
 
 def test_empty_forecast_has_the_output_columns(spark):
