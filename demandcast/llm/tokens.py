@@ -23,6 +23,7 @@ RUN = re.compile(r"\s\s")
 UNUSUAL = re.compile(r"[^\S \t\r\n][ \t\r\n]")
 PLAIN = re.compile(r"[ \t\r\n]+")
 ENCODE_AT_ONCE = 4096
+#: Chunks that a worker keeps, at about 160 bytes each; beyond it starts anew.
 KEEP_CHUNKS = 1_600_000
 
 
@@ -38,13 +39,13 @@ class ChunkEncoder:
     ``spaces`` tells whether the tokenizer keeps white space (byte level) or drops it (word level).
     """
 
-    def __init__(self, name: str, spaces: bool):
+    def __init__(self, name: str, spaces: bool, keep: int = KEEP_CHUNKS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.tokenizer.encode_special_tokens = True
-        self.spaces = spaces
+        self.spaces, self.keep = spaces, keep
         self.known: dict[str, bytes] = {"": b""}
 
     def chunks(self, text: str) -> list[str]:
@@ -70,7 +71,7 @@ class ChunkEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.chunks(t) for t in texts]
         known = self.known
-        if len(known) > KEEP_CHUNKS:
+        if len(known) > self.keep:
             known.clear()
             known[""] = b""
         new = {c: self.parts(c) for c in set(chain.from_iterable(cut)).difference(known)}
@@ -81,9 +82,9 @@ class ChunkEncoder:
 
 
 @cache
-def encoder(name: str, spaces: bool) -> ChunkEncoder:
+def encoder(name: str, spaces: bool, keep: int = KEEP_CHUNKS) -> ChunkEncoder:
     """One encoder per worker process."""
-    return ChunkEncoder(name, spaces)
+    return ChunkEncoder(name, spaces, keep)
 
 
 def vocabulary_size(name: str) -> int:
