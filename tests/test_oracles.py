@@ -18,7 +18,7 @@ def db():
 def test_all_oracles_have_a_query():
     assert set(oracle_sql()) <= set(QUERIES)
     assert set(QUERIES) - set(oracle_sql()) == {
-        "model_fitted", "predict_model", "lambda_scores", "recursive_model", "backtest", "forecast_run_model"
+        "model_fitted", "predict_model", "lambda_scores", "recursive_model", "backtest", "forecast_run_model", "batch_runs"
     }
 
 
