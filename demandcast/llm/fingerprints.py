@@ -13,6 +13,8 @@ All of it is column expressions within one row: nothing is exploded or shuffled.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -68,7 +70,7 @@ def with_fingerprint(
     if 64 % bits or bins * bits % 64:
         raise ValueError("bits has to divide 64, and the bins have to fill 64-bit integers")
     per, width = 64 // bits, 64 - _log2(bins)
-    words, mins, full = f"{name}__words", f"{name}__mins", f"{name}__full"
+    words, held, full = f"{name}__words", f"{name}__held", f"{name}__full"
     tokens = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), WHITE_SPACE), lambda w: w != "")
     rows = rows.withColumn(words, F.transform(tokens, lambda w: F.xxhash64(w)))
     ordered = F.sort_array(F.concat(_shingles(F.col(words), shingle), _highest(bins)))
@@ -76,43 +78,39 @@ def with_fingerprint(
     first = F.filter(
         F.col(full), lambda x, i: (i == 0) | (_bin(x, bins) != _bin(F.get(F.col(full), i - 1), bins))
     )
-    rows = rows.withColumn(mins, first)
     low = F.lit((1 << width) - 1).cast("long")
-
-    def value(i: Column) -> Column:
-        """The bin's value, null if it is empty."""
-        held = F.get(F.col(mins), i)
-        return F.when(held.bitwiseAND(low) != low, held)
+    # the smallest value of each bin, null where it is empty
+    rows = rows.withColumn(held, F.transform(first, lambda v: F.when(v.bitwiseAND(low) != low, v)))
 
     def probe(i: Column, t: int) -> Column:
-        return value(F.pmod(F.xxhash64(i, F.lit(t)), F.lit(bins)).cast("int"))
+        return F.get(F.col(held), F.pmod(F.xxhash64(i, F.lit(t)), F.lit(bins)).cast("int"))
 
     def last_resort(i: Column) -> Column:
         """Of the bins that are not empty, the one that comes first in an order of this bin's own."""
         ranked = F.transform(
-            F.filter(F.col(mins), lambda v: v.bitwiseAND(low) != low),
+            F.filter(F.col(held), lambda v: v.isNotNull()),
             lambda v: F.struct(F.xxhash64(i, _bin(v, bins), F.lit(-1)).alias("rank"), v.alias("value")),
         )
         return F.array_min(ranked)["value"]
 
     dense = F.transform(
         F.sequence(F.lit(0), F.lit(bins - 1)),
-        lambda i: F.coalesce(value(i), *[probe(i, t) for t in range(PROBES)], last_resort(i)),
+        lambda i: F.coalesce(F.get(F.col(held), i), *[probe(i, t) for t in range(PROBES)], last_resort(i)),
     )
     dense_name = f"{name}__dense"
     rows = rows.withColumn(dense_name, dense)
     keep = F.lit((1 << bits) - 1).cast("long")
+    # a column that is named once only may be computed anew for each element, so it is named for each field
     packed = F.transform(
         F.sequence(F.lit(0), F.lit(bins // per - 1)),
-        lambda w: F.aggregate(
-            F.slice(F.col(dense_name), w * per + 1, per),
-            F.lit(0).cast("long"),
-            lambda held, v: F.shiftleft(held, bits).bitwiseOR(v.bitwiseAND(keep)),
+        lambda w: reduce(
+            Column.bitwiseOR,
+            [F.shiftleft(F.get(F.col(dense_name), w * per + k).bitwiseAND(keep), bits * (per - 1 - k)) for k in range(per)],
         ),
     )
     empty = F.size(words) == 0
     return rows.withColumn(name, F.when(empty, F.array().cast("array<bigint>")).otherwise(packed)).drop(
-        words, full, mins, dense_name
+        words, full, held, dense_name
     )
 
 
