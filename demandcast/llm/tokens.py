@@ -22,6 +22,7 @@ RUN = re.compile(r"\s\s")
 #: Any other white space before a cut may belong to the same run: such texts are encoded whole.
 UNUSUAL = re.compile(r"[^\S \t\r\n][ \t\r\n]")
 PLAIN = re.compile(r"[ \t\r\n]+")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 ENCODE_AT_ONCE = 4096
 #: Chunks that a worker keeps, at about 160 bytes each; beyond it starts anew.
 KEEP_CHUNKS = 1_600_000
@@ -50,7 +51,8 @@ class ChunkEncoder:
 
     def chunks(self, text: str) -> list[str]:
         if not self.spaces:
-            return PLAIN.sub(" ", text).split(" ") if RUN.search(text) else text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+            # str.split() also splits at four control characters, which are no white space to the tokenizer
+            return PLAIN.split(text) if any(c in text for c in SEPARATORS) else text.split()
         if RUN.search(text) is None:
             # a single blank opens the chunk after it
             return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0") if "\0" not in text else CHUNK.findall(text)
