@@ -1,21 +1,23 @@
 """License scans by conditional compression.
 
-A candidate block is what surrounds a telling word in a text. Each block is compressed by
-zstandard alone and with each license notice as raw dictionary; the notices are ranked by how much
-smaller the block gets. The best ones are then compared with the block word by word: a notice is
-found where enough of its words stand in order, and the words that are missing, or come between,
-are listed. Equal blocks are compressed once, however many texts hold them.
+A notice counts as found where enough of its words stand in order with few words between. So many
+of its words are telling that a found notice has one at least; a candidate block is what surrounds
+telling words in a text, as far as a notice around them can reach, across line breaks. In a block
+the longest common subsequence of words chooses each notice's span. The text of a span is then
+compressed by zstandard alone and with each license notice as raw dictionary; the notices are
+ranked by how much smaller it gets, and the words that are missing, or come between, are listed.
+Equal blocks are scanned once, however many texts hold them.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from difflib import SequenceMatcher
+from collections import Counter
+from collections.abc import Iterator, Mapping
 from functools import cache
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandcast.llm.common import own_store, whole_text, with_row_id
@@ -40,9 +42,8 @@ NOTICES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-text": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
-#: Words that open a candidate block.
-TELLING = "licen[cs]e|licensed|permission is|redistribution"
-
+#: Words of notices that most texts have; they tell of a notice only where it has too few others.
+COMMON = frozenset("a all and any are as at be by for free from in is it not of or that the this to under use with without you".split())
 WORD = re.compile(r"\w+(?:[.-]\w+)*")
 #: Notices compared word by word for each block, the share of a notice's words that must be there, words between them.
 RANKED, COVERED, EXTRA = 4, 0.8, 0.25
@@ -53,119 +54,186 @@ def notice_words(text: str) -> list[str]:
     return [w.lower() for w in WORD.findall(text)]
 
 
-@cache
-def _compressors() -> dict:
+def _compressor(text: str = ""):
     import zstandard
 
-    plain = {"": zstandard.ZstdCompressor(level=LEVEL, write_content_size=False, write_checksum=False)}
-    return plain | {
-        name: zstandard.ZstdCompressor(
-            level=LEVEL,
-            write_content_size=False,
-            write_checksum=False,
-            write_dict_id=False,
-            dict_data=zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT),
-        )
-        for name, text in NOTICES.items()
-    }
+    held = {"dict_data": zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)}
+    return zstandard.ZstdCompressor(
+        level=LEVEL, write_content_size=False, write_checksum=False, **({"write_dict_id": False} | held if text else {})
+    )
+
+
+class Book:
+    """A list of notices, made ready for scans."""
+
+    def __init__(self, notices: Mapping[str, str]):
+        self.texts = {name: text for name, text in notices.items() if notice_words(text)}
+        self.words = {name: notice_words(text) for name, text in self.texts.items()}
+        self.counts = {name: Counter(words) for name, words in self.words.items()}
+        #: For each notice, by word: a bit for each place where the notice has it.
+        self.places: dict[str, dict[str, int]] = {}
+        for name, words in self.words.items():
+            own = self.places[name] = {}
+            for n, word in enumerate(words):
+                own[word] = own.get(word, 0) | 1 << n
+        self.telling: set[str] = set()
+        for name, words in self.words.items():
+            spare = len(words) - self.least(name)  # so many words may be missing
+            order = sorted(self.counts[name], key=lambda w: (w in COMMON, w not in self.telling, -len(w), w))
+            held = 0
+            for word in order:
+                if held > spare:
+                    break
+                self.telling.add(word)
+                held += self.counts[name][word]
+        #: Most words that a found notice spans.
+        self.reach = max((len(w) + int(EXTRA * len(w)) for w in self.words.values()), default=0)
+
+    def least(self, name: str) -> int:
+        """Fewest words of a notice that are enough."""
+        n = len(self.words[name])
+        return next(k for k in range(n + 1) if k / n >= COVERED)
+
+    def pattern(self) -> str:
+        """Finds telling words in lower-case text; alternatives by first letter."""
+        by_first: dict[str, list[str]] = {}
+        for word in sorted(self.telling):
+            by_first.setdefault(word[0], []).append(word[1:])
+        return "|".join(f"{re.escape(c)}(?:{'|'.join(map(re.escape, rest))})" for c, rest in by_first.items()) or "(?!)"
+
+    def find(self, name: str, have: list[str]) -> tuple[int, int, int] | None:
+        """(words missing or between, first, end) of the span that holds the notice best; the first of equal ones."""
+        want, places, least = self.counts[name], self.places[name], self.least(name)
+        n, best = len(self.words[name]), None
+        if sum((Counter(w for w in have if w in places) & want).values()) < least:
+            return None
+        for first, word in enumerate(have):
+            if word not in places:
+                continue
+            left = full = (1 << n) - 1  # bit-parallel longest common subsequence: a zero for each word in it
+            for end in range(first + 1, len(have) + 1):
+                match = left & places.get(have[end - 1], 0)
+                left = ((left + match) | (left - match)) & full
+                kept = n - left.bit_count()
+                between = end - first - kept
+                if between > EXTRA * n:
+                    break
+                if kept >= least and (best is None or n - kept + between < best[0]):
+                    best = (n - kept + between, first, end)
+        return best
+
+
+@cache
+def _book(items: tuple[tuple[str, str], ...]) -> Book:
+    return Book(dict(items))
+
+
+@cache
+def _compressors(items: tuple[tuple[str, str], ...]) -> dict:
+    return {"": _compressor()} | {name: _compressor(text) for name, text in _book(items).texts.items()}
 
 
-def rank_notices(block: str) -> list[tuple[str, float]]:
+def _items(notices: Mapping[str, str] | None) -> tuple[tuple[str, str], ...]:
+    return tuple((NOTICES if notices is None else notices).items())
+
+
+def rank_notices(block: str, notices: Mapping[str, str] | None = None) -> list[tuple[str, float]]:
     """Notices by the share of the block's compressed size that they save, largest first, ties by name."""
     body = block.lower().encode()
-    held = _compressors()
+    held = _compressors(_items(notices))
     alone = len(held[""].compress(body))
     return sorted(
-        ((name, 1 - len(held[name].compress(body)) / alone) for name in NOTICES), key=lambda x: (-round(x[1], 9), x[0])
+        ((name, 1 - len(c.compress(body)) / alone) for name, c in held.items() if name), key=lambda x: (-round(x[1], 9), x[0])
     )
 
 
 def compare_wording(block: str, notice: str) -> tuple[float, list[str], list[str]]:
     """Share of the notice's words that the block has in order, those missing, and the words between."""
     have, want = notice_words(block), notice_words(notice)
-    runs = [m for m in SequenceMatcher(None, have, want, autojunk=False).get_matching_blocks() if m.size]
-    if not runs:
+    rest = [[0] * (len(want) + 1) for _ in range(len(have) + 1)]
+    for i in range(len(have) - 1, -1, -1):
+        for j in range(len(want) - 1, -1, -1):
+            rest[i][j] = rest[i + 1][j + 1] + 1 if have[i] == want[j] else max(rest[i + 1][j], rest[i][j + 1])
+    pairs, i, j = [], 0, 0
+    while i < len(have) and j < len(want) and rest[i][j]:
+        if have[i] == want[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif rest[i + 1][j] >= rest[i][j + 1]:
+            i += 1
+        else:
+            j += 1
+    if not pairs:
         return 0.0, want, []
-    kept = sum(m.size for m in runs)
-    covered = {n for m in runs for n in range(m.b, m.b + m.size)}
-    used = {n for m in runs for n in range(m.a, m.a + m.size)}
-    span = range(runs[0].a, runs[-1].a + runs[-1].size)
-    return kept / len(want), [w for n, w in enumerate(want) if n not in covered], [have[n] for n in span if n not in used]
-
+    used, covered = {i for i, _ in pairs}, {j for _, j in pairs}
+    span = range(pairs[0][0], pairs[-1][0] + 1)
+    return len(pairs) / len(want), [w for n, w in enumerate(want) if n not in covered], [have[n] for n in span if n not in used]
 
-def scan_block(block: str) -> list[dict]:
-    """The notices that the block holds.
 
-    Of notices that share their words, the one covered best is taken, then the longest.
-    """
-    found = []
-    for rank, (name, saved) in enumerate(rank_notices(block)):
-        if rank >= RANKED or saved <= 0:
-            break
-        share, missing, between = compare_wording(block, NOTICES[name])
-        if share >= COVERED and len(between) <= EXTRA * len(notice_words(NOTICES[name])):
-            found.append(
-                {"license": name, "rank": rank + 1, "saved": saved, "covered": share, "missing": missing, "between": between}
-            )
-    found.sort(key=lambda f: (len(f["missing"]) + len(f["between"]), -len(NOTICES[f["license"]]), f["license"]))
-    return found[:1]
-
-
-REACH = max(len(notice_words(t)) for t in NOTICES.values())
+def scan_block(block: str, notices: Mapping[str, str] | None = None) -> list[dict]:
+    """The notices that the block holds, in order; ``begin`` and ``end`` are their code points in it.
 
-
-def candidate_blocks(text: str) -> list[tuple[int, str]]:
-    """(offset, block) of a whole text: lines with a telling word; around it, where a line is long.
-
-    A notice that is wrapped is found through the lines that follow, up to the longest notice's words.
+    Of notices whose spans overlap, the one covered best is taken, then the longest, then the first;
+    what is before and behind its span is scanned again.
     """
-    out, done = [], -1
-    for hit in re.finditer(TELLING, text, re.IGNORECASE):
-        if hit.start() < done:
-            continue
-        start = text.rfind("\n", 0, hit.start()) + 1
-        before = list(WORD.finditer(text, max(start, hit.start() - 40 * REACH), hit.start()))[-REACH:]
-        start = before[0].start() if before else hit.start()
-        end, words = hit.end(), 0
-        for word in WORD.finditer(text, hit.end(), hit.end() + 40 * REACH):
-            line = text.find("\n", end, word.start())
-            if line >= 0 and words >= 3 and not _continues(text[start:end]):
-                break
-            end, words = word.end(), words + 1
-            if words >= REACH:
+    book = _book(_items(notices))
+    spans = [(m.start(), m.end()) for m in WORD.finditer(block)]
+    have = [block[a:b].lower() for a, b in spans]
+    hits, open_ = [], [(0, len(have), tuple(book.words))]
+    while open_:
+        low, high, names = open_.pop()
+        found = [(name, span) for name in names if (span := book.find(name, have[low:high]))]
+        kept = None
+        for name, (_, first, end) in sorted(found, key=lambda f: (f[1][0], -len(book.texts[f[0]]), f[1][1], f[0])):
+            begin, stop = spans[low + first][0], spans[low + end - 1][1]
+            ranked = rank_notices(block[begin:stop], notices)
+            rank = next(n for n, (other, _) in enumerate(ranked) if other == name)
+            if ranked[rank][1] > 0:
+                share, missing, between = compare_wording(block[begin:stop], book.texts[name])
+                hits.append({"begin": begin, "end": stop, "license": name, "rank": rank + 1, "saved": ranked[rank][1],
+                             "covered": share, "missing": missing, "between": between})
+                kept = (low + first, low + end)
                 break
-        out.append((start, text[start:end]))
-        done = end
-    return out
-
-
-def _continues(block: str) -> bool:
-    """Whether the block so far begins a notice that is longer than it."""
-    words = notice_words(block)[-3:]
-    return any(words == long[n : n + 3] for long in _long_notices() for n in range(len(long) - 3))
-
-
-@cache
-def _long_notices() -> list[list[str]]:
-    return [w for w in map(notice_words, NOTICES.values()) if len(w) > 12]
-
-
-def scan_licenses(docs: DataFrame, store: Storage) -> DataFrame:
+        if kept:
+            # a notice that is nowhere in the whole is in no part of it
+            rest = tuple(name for name, _ in found)
+            open_ += [(low, kept[0], rest), (kept[1], high, rest)]
+    return sorted(hits, key=lambda h: h["begin"])
+
+
+def candidate_blocks(text: str, notices: Mapping[str, str] | None = None) -> list[tuple[int, str]]:
+    """(offset, block) of a whole text: telling words and as many words around them as a notice can span."""
+    book = _book(_items(notices))
+    words = [(m.start(), m.end(), m.group().lower()) for m in WORD.finditer(text)]
+    spans: list[list[int]] = []
+    for n, (_, _, word) in enumerate(words):
+        if word in book.telling:
+            low, high = max(0, n - book.reach + 1), min(len(words), n + book.reach)
+            if spans and low <= spans[-1][1]:
+                spans[-1][1] = high
+            else:
+                spans.append([low, high])
+    return [(words[low][0], text[words[low][0] : words[high - 1][1]]) for low, high in spans]
+
+
+def scan_licenses(docs: DataFrame, store: Storage, notices: Mapping[str, str] | None = None) -> DataFrame:
     """License notices of every row: row, doc_id, at, license, rank, saved, covered, missing, between, block.
 
-    ``at`` is the code point where the block begins in the whole text. Null and empty texts have
-    none, repeated rows have theirs each. An empty table gives no rows.
+    ``notices`` are names and texts to look for, those of ``NOTICES`` if it is None. ``at`` is the
+    code point where the notice's words begin in the whole text, ``block`` the text from there to
+    its last word. Null and empty texts have none, repeated rows have theirs each. An empty table
+    gives no rows.
     """
     store = own_store(store)
     rows = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), "row")
-    telling: Column = F.col("text").rlike(f"(?i){TELLING}")
+    telling = F.lower("text").rlike(_book(_items(notices)).pattern())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [
                 (row, doc_id, at, block)
                 for row, doc_id, text in zip(*(c.to_pylist() for c in batch.columns))
-                for at, block in candidate_blocks(text)
+                for at, block in candidate_blocks(text, notices)
             ]
             columns = list(zip(*out)) or [(), (), (), ()]
             types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
@@ -175,18 +243,28 @@ def scan_licenses(docs: DataFrame, store: Storage) -> DataFrame:
 
     blocks = rows.where(telling).select("row", "doc_id", "text").mapInArrow(cut, "row long, doc_id long, at long, block string")
     blocks = store.table("blocks", blocks)
-    found_type = "block string, license string, rank int, saved double, covered double, missing array<string>, between array<string>"
+    found_type = "block string, begin long, end long, license string, rank int, saved double, covered double, missing array<string>, between array<string>"
     schema = pa.schema(
-        [("block", pa.string()), ("license", pa.string()), ("rank", pa.int32()), ("saved", pa.float64()), ("covered", pa.float64()),
+        [("block", pa.string()), ("begin", pa.int64()), ("end", pa.int64()), ("license", pa.string()),
+         ("rank", pa.int32()), ("saved", pa.float64()), ("covered", pa.float64()),
          ("missing", pa.list_(pa.string())), ("between", pa.list_(pa.string()))]
     )
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [{"block": b, **hit} for b in batch.column(0).to_pylist() for hit in scan_block(b)]
+            found = [{"block": b, **hit} for b in batch.column(0).to_pylist() for hit in scan_block(b, notices)]
             yield pa.RecordBatch.from_pylist(found, schema=schema)
 
     known = store.table("found", blocks.select("block").distinct().mapInArrow(scan, found_type))
     return blocks.join(known, "block").select(
-        "row", "doc_id", "at", "license", "rank", "saved", "covered", "missing", "between", "block"
+        "row",
+        "doc_id",
+        (F.col("at") + F.col("begin")).alias("at"),
+        "license",
+        "rank",
+        "saved",
+        "covered",
+        "missing",
+        "between",
+        F.col("block").substr(F.col("begin").cast("int") + 1, (F.col("end") - F.col("begin")).cast("int")).alias("block"),
     )

@@ -50,3 +50,18 @@ def test_query_finds_every_notice_line(spark):
     want = sorted((d.doc_id, n) for d in docs for n in names for _ in range((d.text or "").count(licenses.NOTICES[n])))
     found = sorted((r.doc_id, r.license) for r in QUERIES["op2_licenses"](spark, SF_DIR).collect())
     assert found == want and len(want) > 10
+
+
+@pytest.mark.parametrize("name", list(licenses.NOTICES))
+def test_notices_wrapped_at_every_word(name):
+    notice = licenses.NOTICES[name]
+    for at in [n for n, c in enumerate(notice) if c == " "]:
+        text = f"some words before.\n{notice[:at]}\n{notice[at + 1 :]}\nand some behind"
+        hits = [h for _, b in licenses.candidate_blocks(text) for h in licenses.scan_block(b)]
+        assert [(h["license"], h["covered"], h["missing"], h["between"]) for h in hits] == [(name, 1, [], [])]
+
+
+def test_a_notice_with_any_fifth_missing_has_a_telling_word():
+    book = licenses.Book(licenses.NOTICES)
+    for name, words in book.words.items():
+        assert sum(w in book.telling for w in words) > len(words) - book.least(name)
