@@ -41,6 +41,19 @@ NOTICES = {
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
     "CC-BY-text": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to "
+    "this work",
+    "LGPL-text": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+    "General Public License as published by the Free Software Foundation",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "AGPL-text": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+    "General Public License as published by the Free Software Foundation",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "ISC-text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "EPL-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+    "2.0",
 }
 #: Words of notices that most texts have; they tell of a notice only where it has too few others.
 COMMON = frozenset("a all and any are as at be by for free from in is it not of or that the this to under use with without you".split())

@@ -61,7 +61,22 @@ def test_notices_wrapped_at_every_word(name):
         assert [(h["license"], h["covered"], h["missing"], h["between"]) for h in hits] == [(name, 1, [], [])]
 
 
+def test_all_notices_of_one_line(make_docs, store):
+    text = "Released under the MIT License. Licensed under the Apache License, Version 2.0. " + licenses.NOTICES["GPL-text"]
+    rows = licenses.scan_licenses(make_docs([(1, "a b " + text), (2, text.replace(" ", "\n"))]), store).collect()
+    found = {i: sorted((r.at, r.license) for r in rows if r.doc_id == i) for i in (1, 2)}
+    places = [text.index(w) for w in ("Released", "Licensed", "This")]
+    assert found == {i: list(zip([p + k for p in places], ["MIT", "Apache-2.0", "GPL-text"])) for i, k in ((1, 4), (2, 0))}
+    assert {r.block for r in rows if r.license == "MIT"} == {"Released under the MIT License", "Released\nunder\nthe\nMIT\nLicense"}
+
+
 def test_a_notice_with_any_fifth_missing_has_a_telling_word():
     book = licenses.Book(licenses.NOTICES)
     for name, words in book.words.items():
         assert sum(w in book.telling for w in words) > len(words) - book.least(name)
+
+
+def test_given_notices(make_docs, store):
+    rows = licenses.scan_licenses(make_docs([(1, "x House rules apply to all guests y"), (2, licenses.NOTICES["MIT"])]), store,
+                                  {"house": "house rules apply to all guests"}).collect()
+    assert [(r.doc_id, r.license) for r in rows] == [(1, "house")]
