@@ -9,10 +9,15 @@ cut further by hash, and each pair of parts is a cell of its own, so that no tas
 From a cell only links that join something not yet joined within it are kept: a dense group of
 copies yields a link for each, not all pairs. Linked fingerprints are grouped by their smallest
 member with alternating star contractions.
+
+With a ``similarity`` those groups are candidates only. Fingerprints are then those of distinct
+shingles. The shingle sets of each candidate group are compared exactly, in cells of bounded size
+again, and what is linked there is grouped in the same way.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 from functools import reduce
@@ -36,18 +41,32 @@ TILE = 8192
 #: Pairs compared at a time.
 PAIRS_AT_ONCE = 1 << 21
 HASHES_AT_ONCE = 1 << 16
+#: A candidate group with more shingle sets is cut into parts of about this many, and into sqrt(2 * shuffle partitions) at most.
+SETS = 256
 
 
-def fingerprint(text: str, shingle: int = SHINGLE, seeds: tuple[int, ...] = SEEDS) -> bytes:
-    """Fingerprint of a whole text, 8 bytes a seed, highest bit first; zero without words."""
+def _shingles(text: str, shingle: int) -> tuple[bytes, list[tuple[int, int]]]:
+    """The text's words joined by blanks, and from where to where each shingle is in them."""
     words = lower_words(text)
     if not words:
-        return bytes(8 * len(seeds))
+        return b"", []
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
     length = min(shingle, len(words))
-    pairs = list(zip(starts[: len(words) - length + 1].tolist(), ends[length - 1 :].tolist()))
+    return joined, list(zip(starts[: len(words) - length + 1].tolist(), ends[length - 1 :].tolist()))
+
+
+def fingerprint(text: str, shingle: int = SHINGLE, seeds: tuple[int, ...] = SEEDS, distinct: bool = False) -> bytes:
+    """Fingerprint of a whole text, 8 bytes a seed, highest bit first; zero without words.
+
+    ``distinct`` counts a shingle once, however often it occurs.
+    """
+    joined, pairs = _shingles(text, shingle)
+    if not pairs:
+        return bytes(8 * len(seeds))
+    if distinct:
+        pairs = list({joined[a:b]: (a, b) for a, b in pairs}.values())
     out = []
     for seed in seeds:
         hashed, counts = xxhash.xxh64_intdigest, np.zeros(64, dtype=np.int64)
@@ -58,17 +77,39 @@ def fingerprint(text: str, shingle: int = SHINGLE, seeds: tuple[int, ...] = SEED
     return b"".join(out)
 
 
-def fingerprint_rows(docs: DataFrame, shingle: int, seeds: tuple[int, ...]) -> DataFrame:
-    """(row, doc_id, fingerprint binary) of every row; columns other than doc_id and text are ignored."""
+def shingle_set(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """The 64-bit hashes of a text's distinct shingles, sorted."""
+    joined, pairs = _shingles(text, shingle)
+    return np.unique(np.array([xxhash.xxh64_intdigest(joined[a:b]) for a, b in pairs], dtype="<u8"))
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Similarity of two shingle sets; 1 for two empty ones."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
+def fingerprint_rows(docs: DataFrame, shingle: int, seeds: tuple[int, ...], distinct: bool = False) -> DataFrame:
+    """(row, doc_id, fingerprint binary) of every row; columns other than doc_id and text are ignored.
+
+    With ``distinct`` also ``set_id``, 16 bytes that are the same for equal shingle sets.
+    """
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("fingerprint", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(t, shingle, seeds) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(prints, pa.binary())], schema=schema)
+            texts = batch.column(2).to_pylist()
+            prints = [fingerprint(t, shingle, seeds, distinct) for t in texts]
+            out = [batch.column(0), batch.column(1), pa.array(prints, pa.binary())]
+            if distinct:
+                sets = [hashlib.blake2b(shingle_set(t, shingle).tobytes(), digest_size=16).digest() for t in texts]
+                yield pa.RecordBatch.from_arrays([*out, pa.array(sets, pa.binary())], names=[*schema.names, "set_id"])
+            else:
+                yield pa.RecordBatch.from_arrays(out, schema=schema)
 
     rows = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), "row")
-    return rows.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, fingerprint binary")
+    columns = "row long, doc_id long, fingerprint binary" + (", set_id binary" if distinct else "")
+    return rows.select("row", "doc_id", "text").mapInArrow(run, columns)
 
 
 def _as_words(joined: bytes, size: int) -> np.ndarray:
@@ -192,31 +233,100 @@ def smallest_linked(links: DataFrame, store: Storage) -> DataFrame:
         before = now
 
 
+def similar_links(members: DataFrame, docs: DataFrame, shingle: int, size: int, radius: int, similarity: float, store: Storage) -> DataFrame:
+    """Links (a, b) among the shingle sets of each candidate group, within ``radius`` and of ``similarity`` or more.
+
+    ``members`` has group, set_id, fingerprint and row, a row of ``docs`` with that set. The links
+    connect everything that is so linked; those that close a ring inside a cell are left out.
+    """
+    crowds = members.groupBy("group").agg(F.count("*").alias("held")).where("held > 1")
+    most = math.ceil(math.sqrt(2 * partitions(docs.sparkSession)))
+    parts = F.least(F.lit(most), F.ceil(F.col("held") / SETS)).cast("int")
+    wanted = members.join(crowds.select("group", parts.alias("parts")), "group")
+    wanted = store.table("wanted", wanted.withColumn("part", F.pmod(F.xxhash64("set_id"), F.col("parts")).cast("int")))
+    columns = ["group", "parts", "part", "set_id", "fingerprint"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, shingle).tobytes() for t in batch.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sets, pa.binary())], names=[*columns, "shingles"])
+
+    texts = with_row_id(docs.select(whole_text().alias("text")), "row").join(wanted, "row").select(*columns, "text")
+    sets = store.table(
+        "sets", texts.mapInArrow(cut, "group binary, parts int, part int, set_id binary, fingerprint binary, shingles binary")
+    )
+    # the cells (line, pile) of a group, line <= pile: every pair of its parts once
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    cells = sets.withColumn("other", other).withColumns(
+        {"line": F.least("part", "other"), "pile": F.greatest("part", "other")}
+    )
+
+    def compare(held: pa.Table) -> pa.Table:
+        held = held.sort_by("set_id")
+        ids, part = held.column("set_id").to_pylist(), held.column("part").to_numpy()
+        prints = _as_words(b"".join(held.column("fingerprint").to_pylist()), size)
+        shingles = [np.frombuffer(x, dtype="<u8") for x in held.column("shingles").to_pylist()]
+        crossing = held.column("line")[0] != held.column("pile")[0]
+        label, links = np.arange(len(ids)), []
+        for i in range(len(ids) - 1):
+            near = np.bitwise_count(prints[i + 1 :] ^ prints[i]).sum(axis=1) <= radius
+            if crossing:
+                near &= part[i + 1 :] != part[i]
+            for j in (i + 1 + np.flatnonzero(near)).tolist():
+                if label[i] == label[j]:
+                    continue
+                few, many = sorted((len(shingles[i]), len(shingles[j])))
+                if many and few / many >= similarity and jaccard(shingles[i], shingles[j]) >= similarity:
+                    links.append((ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
+        return pa.table({"a": pa.array([a for a, _ in links], pa.binary()), "b": pa.array([b for _, b in links], pa.binary())})
+
+    # a cell's work is not its bytes, so partitions are not to be coalesced
+    cells = cells.select("group", "line", "pile", "part", "set_id", "fingerprint", "shingles")
+    cells = cells.repartition(2 * partitions(docs.sparkSession), "group", "line", "pile")
+    return cells.groupBy("group", "line", "pile").applyInArrow(compare, "a binary, b binary")
+
+
+def _rooted(nodes: DataFrame, name: str, links: DataFrame, store: Storage) -> DataFrame:
+    """``nodes`` with ``root``: the smallest node that column ``name`` reaches over the links, itself without any."""
+    roots = store.table(f"{name}_roots", smallest_linked(links, own_store(store)))
+    return nodes.join(roots, F.col(name) == F.col("node"), "left").withColumn("root", F.coalesce("root", name)).drop("node")
+
+
 def near_groups(
     docs: DataFrame,
     store: Storage,
     shingle: int = SHINGLE,
     seeds: tuple[int, ...] = SEEDS,
     radius: int = RADIUS,
+    similarity: float | None = None,
 ) -> DataFrame:
-    """Every row of ``docs`` with its fingerprint and group: row, doc_id, fingerprint, component_id.
+    """Every row of ``docs`` with its fingerprint and group: row, doc_id, fingerprint, root, component_id.
 
     ``component_id`` is the smallest doc_id reachable over fingerprints that differ in at most
     ``radius`` bits. Texts without words have fingerprint zero and link like any other. A null
     text counts as empty, a null doc_id is no candidate for the smallest (a group with null ids
     alone has null). An empty table gives no rows.
+
+    With ``similarity`` a link also needs a Jaccard similarity of the two sets of distinct shingles of
+    that much or more (their 64-bit hashes stand for the shingles), and texts without words link to
+    each other only. ``docs`` has to be a stored table then: it is read again.
     """
-    store, size = own_store(store), 8 * len(seeds)
-    rows = store.table("prints", fingerprint_rows(docs, shingle, seeds))
+    store, size, exact = own_store(store), 8 * len(seeds), similarity is not None
+    rows = store.table("prints", fingerprint_rows(docs, shingle, seeds, exact))
     distinct = store.table("distinct", rows.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
-    roots = store.table("roots", smallest_linked(near_links(distinct, size, radius, store), store))
-    placed = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "lowest", F.coalesce("root", "fingerprint").alias("root")
-    )
-    placed = store.table("placed", placed)
+    node = "set_id" if exact else "fingerprint"
+    placed = _rooted(distinct, "fingerprint", near_links(distinct, size, radius, store), store)
+    if exact:
+        groups = store.table("candidates", placed.select("fingerprint", F.col("root").alias("group")))
+        one = rows.groupBy("set_id", "fingerprint").agg(F.min("doc_id").alias("lowest"), F.min("row").alias("row"))
+        members = store.table("members", one.join(groups, "fingerprint"))
+        links = similar_links(members.drop("lowest"), docs, shingle, size, radius, similarity, store)
+        placed = _rooted(members.select("set_id", "lowest"), "set_id", links, store)
+    placed = store.table("placed", placed.select(node, "lowest", "root"))
     groups = store.table("groups", placed.groupBy("root").agg(F.min("lowest").alias("component_id")))
-    known = store.table("known", placed.join(groups, "root").select("fingerprint", "root", "component_id"))
-    return rows.join(known, "fingerprint").select("row", "doc_id", "fingerprint", "root", "component_id")
+    known = store.table("known", placed.join(groups, "root").select(node, "root", "component_id"))
+    return rows.join(known, node).select("row", "doc_id", "fingerprint", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, store: Storage, **options) -> DataFrame:

@@ -36,3 +36,18 @@ def test_stages_keep_the_columns_of_awkward_rows(awkward, no_docs, spark):
             out = stage(spark, docs, SF_DIR)
             assert out.columns == docs.columns, name
             assert out.count() <= 2 * len(AWKWARD)
+
+
+def test_near_copies_by_exact_similarity(spark):
+    """The near stage of ``documents`` against Jaccard similarities of all pairs."""
+    docs = read_table(spark, SF_DIR, "documents")
+    kept = sorted(r.doc_id for r in cp.drop_near(spark, docs, SF_DIR).collect())
+    texts = {d.doc_id: d.text or "" for d in docs.collect()}
+    held = [(i, simhash.shingle_set(texts[i], cp.NEAR_SHINGLE)) for i in sorted(texts)]
+    group = list(range(len(held)))
+    for i in range(len(held)):
+        for j in range(i):
+            if group[i] != group[j] and simhash.jaccard(held[i][1], held[j][1]) >= cp.NEAR_SIMILARITY:
+                group = [group[j] if g == group[i] else g for g in group]
+    first = {g: held[n][0] for n, g in reversed(list(enumerate(group)))}
+    assert kept == sorted(first.values())

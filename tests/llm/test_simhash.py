@@ -115,3 +115,33 @@ def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").collect()
     assert [r.fingerprint for r in rows] == [by_hand(d.text) for d in docs]
     assert [r.component_id for r in rows] == components([r.fingerprint for r in rows], [r.doc_id for r in rows], 2)
+
+
+def test_links_need_the_similarity(make_docs, store):
+    """Copies of each similarity from 0.5 up against an exact comparison of all pairs."""
+    docs, base = [], words(400, 21).split()
+    for n, edits in enumerate([0, 6, 8, 9, 10, 12, 14, 20]):
+        edited = list(base)
+        for k in range(edits):
+            edited[10 + k * 19] = f"changed{n}x{k}"
+        docs.append((n, " ".join(edited)))
+    short = words(8, 22)  # 4 shingles, 4 of 5 with one word more
+    docs += [(20, short), (21, f"{short} more"), (22, ""), (23, None), (24, f"{short}\n" * 30), (25, words(300, 23))]
+    sets = [simhash.shingle_set(t or "", 5) for _, t in docs]
+    group = list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if simhash.jaccard(sets[i], sets[j]) >= 0.8:
+                group = [group[j] if g == group[i] else g for g in group]
+    want = {docs[n][0]: min(docs[m][0] for m in range(len(docs)) if group[m] == g) for n, g in enumerate(group)}
+    options = {"shingle": 5, "seeds": (42, 43, 44, 45), "radius": 76, "similarity": 0.8}
+    found = {r.doc_id: r.component_id for r in simhash.near_groups(make_docs(docs), store, **options).collect()}
+    assert found == want and found[21] == 20 and found[24] != 20 and found[7] == 7 and len(set(found.values())) > 5
+
+
+def test_large_candidate_groups_in_cells(make_docs, store, monkeypatch):
+    monkeypatch.setattr(simhash, "SETS", 8)
+    base = words(200, 31).split()
+    docs = [(n, " ".join([*base[: 10 + n], f"own{n}", *base[11 + n :]])) for n in range(60)]
+    options = {"shingle": 5, "seeds": (42, 43, 44, 45), "radius": 76, "similarity": 0.8}
+    assert {r.component_id for r in simhash.near_groups(make_docs(docs), store, **options).collect()} == {0}
