@@ -40,6 +40,40 @@ def with_row_id(rows: DataFrame, name: str) -> DataFrame:
     return rows.withColumn(name, F.monotonically_increasing_id())
 
 
+def is_scan(rows: DataFrame) -> bool:
+    """Whether ``rows`` are those of one Parquet scan, with columns chosen or computed at most."""
+    plan = rows._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "SubqueryAlias", "View") and plan.children().size() == 1:
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation" and "parquet" in plan.toString().lower()
+
+
+def with_stable_row_id(rows: DataFrame, name: str, store: Storage) -> DataFrame:
+    """Number rows so that each keeps its number however a later scan is split.
+
+    A number is the place of the row's Parquet file among the sorted names and the row's place in the
+    file. Rows that are not just a scan of Parquet files are stored with their numbers.
+    """
+    if not is_scan(rows):
+        return own_store(store).table("numbered", with_row_id(rows, name))
+    meta = rows.metadataColumn("_metadata")
+    path, index = fresh_name(rows, "file_path"), meta.getField("row_index")
+    files = sorted(r[0] for r in rows.select(meta.getField("file_path")).distinct().collect())
+    if len(files) <= 1:
+        return rows.withColumn(name, index)
+    places = rows.sparkSession.createDataFrame(list(enumerate(files)), f"place_ long, {path} string")
+    held = rows.select("*", meta.getField("file_path").alias(path), index.alias(name))
+    numbered = held.join(F.broadcast(places), path)
+    return numbered.withColumn(name, F.shiftleft("place_", 40) + F.col(name)).select(*rows.columns, name)
+
+
+def numbered(docs: DataFrame, row: str | None, *columns: Column | str) -> DataFrame:
+    """``row`` and these columns of ``docs``; numbers come from its column ``row``, else from this scan."""
+    if row is None:
+        return with_row_id(docs.select(*columns), "row")
+    return docs.select(F.col(row).alias("row"), *columns)
+
+
 def fold(doc_id: str = "doc_id", folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))

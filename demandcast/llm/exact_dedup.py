@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import fresh_name, own_store, whole_text, with_row_id
+from demandcast.llm.common import fresh_name, numbered, own_store, whole_text, with_stable_row_id
 from demandcast.sources.storage import Storage
 
 BLOCK_BYTES = 4096
@@ -39,15 +39,16 @@ def name_documents(
     text: str = "text",
     block_bytes: int = BLOCK_BYTES,
     digest: Callable[[Column], Column] = F.xxhash64,
+    row: str | None = None,
 ) -> DataFrame:
     """(row, doc_id, text_sha256, level, name): rows are equal in text exactly if (level, name) are.
 
-    ``row`` numbers the rows of ``docs``. A null text counts as empty, and an empty text is one
+    ``row`` numbers the rows of ``docs``; the argument names a column that has the numbers. A null text counts as empty, and an empty text is one
     empty block. An empty table gives no rows. ``digest`` may collide: that costs time only.
     """
     store = own_store(store)
     body = F.encode(whole_text(text), "UTF-8")
-    base = with_row_id(docs.select("doc_id", body.alias("body")), "row")
+    base = numbered(docs, row, "doc_id", body.alias("body"))
     heads = store.table(
         "heads",
         base.select(
@@ -143,5 +144,6 @@ def exact_groups(docs: DataFrame, store: Storage, **options) -> DataFrame:
 def drop_exact_duplicates(docs: DataFrame, store: Storage, **options) -> DataFrame:
     """The kept rows of ``docs``, all columns. ``docs`` has to be a stored table: it is read again."""
     row = fresh_name(docs, "row")
-    kept = exact_groups(docs, store, **options).where("kept").select(F.col("row").alias(row))
-    return with_row_id(docs, row).join(kept, row, "left_semi").drop(row)
+    rows = with_stable_row_id(docs, row, store)
+    kept = exact_groups(rows, store, row=row, **options).where("kept").select(F.col("row").alias(row))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)

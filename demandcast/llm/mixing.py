@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import WHITE_SPACE, fresh_name, own_store, whole_text, with_row_id
+from demandcast.llm.common import WHITE_SPACE, fresh_name, numbered, own_store, whole_text, with_stable_row_id
 from demandcast.operators.joins import lookup_join
 from demandcast.sources.storage import Storage
 
@@ -125,7 +125,7 @@ def _thresholds(sized: DataFrame, budgets: DataFrame, store: Storage) -> DataFra
     return state.select("skey", F.col("prefix").alias("below"))
 
 
-def take_shares(docs: DataFrame, weights: DataFrame, store: Storage, share: float = 1.5) -> DataFrame:
+def take_shares(docs: DataFrame, weights: DataFrame, store: Storage, share: float = 1.5, row: str | None = None) -> DataFrame:
     """Every row of ``docs`` with how often it is taken.
 
     ``weights`` has source, weight: one row per source, null for a source that is null. Returns
@@ -136,7 +136,7 @@ def take_shares(docs: DataFrame, weights: DataFrame, store: Storage, share: floa
     store = own_store(store)
     sized = store.table(
         "sized",
-        with_row_id(docs.select("doc_id", F.col("source").cast("string").alias("source"), "text"), "row").select(
+        numbered(docs, row, "doc_id", F.col("source").cast("string").alias("source"), "text").select(
             "row", "doc_id", "source", skey(F.col("source")).alias("skey"), word_count().alias("size"), hash_of().alias("hash")
         ),
     )
@@ -193,8 +193,9 @@ def mix_sources(docs: DataFrame, weights: DataFrame, store: Storage, share: floa
     """
     row = fresh_name(docs, "row")
     times = fresh_name(docs, "times")
-    chosen = take_shares(docs, weights, store, share).where("times > 0")
+    rows = with_stable_row_id(docs, row, store)
+    chosen = take_shares(rows, weights, store, share, row).where("times > 0")
     chosen = chosen.select(F.col("row").alias(row), F.col("times").alias(times))
-    joined = with_row_id(docs, row).join(chosen, row)
+    joined = rows.join(chosen, row)
     nth = fresh_name(docs, "nth")
     return joined.withColumn(nth, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)

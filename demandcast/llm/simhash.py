@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandcast.llm.common import fresh_name, lower_words, own_store, partitions, whole_text, with_row_id
+from demandcast.llm.common import fresh_name, lower_words, numbered, own_store, partitions, whole_text, with_stable_row_id
 from demandcast.sources.storage import Storage
 
 SHINGLE = 3
@@ -89,7 +89,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def fingerprint_rows(docs: DataFrame, shingle: int, seeds: tuple[int, ...], distinct: bool = False) -> DataFrame:
+def fingerprint_rows(docs: DataFrame, shingle: int, seeds: tuple[int, ...], distinct: bool = False, row: str | None = None) -> DataFrame:
     """(row, doc_id, fingerprint binary) of every row; columns other than doc_id and text are ignored.
 
     With ``distinct`` also ``set_id``, 16 bytes that are the same for equal shingle sets.
@@ -107,7 +107,7 @@ def fingerprint_rows(docs: DataFrame, shingle: int, seeds: tuple[int, ...], dist
             else:
                 yield pa.RecordBatch.from_arrays(out, schema=schema)
 
-    rows = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")), "row")
+    rows = numbered(docs, row, F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     columns = "row long, doc_id long, fingerprint binary" + (", set_id binary" if distinct else "")
     return rows.select("row", "doc_id", "text").mapInArrow(run, columns)
 
@@ -233,10 +233,10 @@ def smallest_linked(links: DataFrame, store: Storage) -> DataFrame:
         before = now
 
 
-def similar_links(members: DataFrame, docs: DataFrame, shingle: int, size: int, radius: int, similarity: float, store: Storage) -> DataFrame:
+def similar_links(members: DataFrame, docs: DataFrame, row: str, shingle: int, size: int, radius: int, similarity: float, store: Storage) -> DataFrame:
     """Links (a, b) among the shingle sets of each candidate group, within ``radius`` and of ``similarity`` or more.
 
-    ``members`` has group, set_id, fingerprint and row, a row of ``docs`` with that set. The links
+    ``members`` has group, set_id, fingerprint and row, the number (column ``row`` of ``docs``) of one with that set. The links
     connect everything that is so linked; those that close a ring inside a cell are left out.
     """
     crowds = members.groupBy("group").agg(F.count("*").alias("held")).where("held > 1")
@@ -251,7 +251,7 @@ def similar_links(members: DataFrame, docs: DataFrame, shingle: int, size: int,
             sets = [shingle_set(t, shingle).tobytes() for t in batch.column(5).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sets, pa.binary())], names=[*columns, "shingles"])
 
-    texts = with_row_id(docs.select(whole_text().alias("text")), "row").join(wanted, "row").select(*columns, "text")
+    texts = numbered(docs, row, whole_text().alias("text")).join(wanted, "row").select(*columns, "text")
     sets = store.table(
         "sets", texts.mapInArrow(cut, "group binary, parts int, part int, set_id binary, fingerprint binary, shingles binary")
     )
@@ -300,6 +300,7 @@ def near_groups(
     seeds: tuple[int, ...] = SEEDS,
     radius: int = RADIUS,
     similarity: float | None = None,
+    row: str | None = None,
 ) -> DataFrame:
     """Every row of ``docs`` with its fingerprint and group: row, doc_id, fingerprint, root, component_id.
 
@@ -310,10 +311,13 @@ def near_groups(
 
     With ``similarity`` a link also needs a Jaccard similarity of the two sets of distinct shingles of
     that much or more (their 64-bit hashes stand for the shingles), and texts without words link to
-    each other only. ``docs`` has to be a stored table then: it is read again.
+    each other only. ``docs`` is read again then. ``row`` names a column that has the row numbers.
     """
     store, size, exact = own_store(store), 8 * len(seeds), similarity is not None
-    rows = store.table("prints", fingerprint_rows(docs, shingle, seeds, exact))
+    if exact and row is None:
+        row = fresh_name(docs, "row")
+        docs = with_stable_row_id(docs, row, store)
+    rows = store.table("prints", fingerprint_rows(docs, shingle, seeds, exact, row))
     distinct = store.table("distinct", rows.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
     node = "set_id" if exact else "fingerprint"
     placed = _rooted(distinct, "fingerprint", near_links(distinct, size, radius, store), store)
@@ -321,7 +325,7 @@ def near_groups(
         groups = store.table("candidates", placed.select("fingerprint", F.col("root").alias("group")))
         one = rows.groupBy("set_id", "fingerprint").agg(F.min("doc_id").alias("lowest"), F.min("row").alias("row"))
         members = store.table("members", one.join(groups, "fingerprint"))
-        links = similar_links(members.drop("lowest"), docs, shingle, size, radius, similarity, store)
+        links = similar_links(members.drop("lowest"), docs, row, shingle, size, radius, similarity, store)
         placed = _rooted(members.select("set_id", "lowest"), "set_id", links, store)
     placed = store.table("placed", placed.select(node, "lowest", "root"))
     groups = store.table("groups", placed.groupBy("root").agg(F.min("lowest").alias("component_id")))
@@ -335,7 +339,8 @@ def drop_near_duplicates(docs: DataFrame, store: Storage, **options) -> DataFram
     ``docs`` has to be a stored table: it is read again.
     """
     row = fresh_name(docs, "row")
-    groups = near_groups(docs, store, **options)
+    rows = with_stable_row_id(docs, row, store)
+    groups = near_groups(rows, store, row=row, **options)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row"))
     kept = groups.groupBy("root").agg(first.alias("first")).select(F.col("first.row").alias(row))
-    return with_row_id(docs, row).join(kept, row, "left_semi").drop(row)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
