@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandcast.llm import exact_dedup, fingerprints, language_model, licenses, mixing, packing, quality, sharding, simhash, token_files
+from demandcast.llm import (
+    conversations,
+    exact_dedup,
+    fingerprints,
+    language_model,
+    licenses,
+    mixing,
+    packing,
+    quality,
+    sharding,
+    shingle_join,
+    simhash,
+    token_files,
+    vector_codes,
+)
 from demandcast.llm.common import read_table
 from demandcast.sources.storage import Storage
 
@@ -115,3 +129,26 @@ def op10_quality(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, read_table(spark, sf_dir, "labels"))
     return quality.score_quality(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query
+def op11_conversations(spark, sf_dir):
+    """Conversations that are spoilt by a hash of their turns, then repaired at the least cost."""
+    turns = read_table(spark, sf_dir, "conversations")
+    return conversations.conversation_digests(
+        conversations.repair_conversations(conversations.damage(turns), Storage(spark), original=turns)
+    )
+
+
+@query
+def op12_shingle_join(spark, sf_dir):
+    """Texts whose sets of five-word shingles have a similarity of 0.8 or more."""
+    return shingle_join.jaccard_groups(read_table(spark, sf_dir, "documents"), Storage(spark))
+
+
+@query
+def op13_vector_codes(spark, sf_dir):
+    """Sixteen parts a vector, 64 entries a codebook, two rounds."""
+    coded, books = vector_codes.compress_vectors(read_table(spark, sf_dir, "embeddings"), Storage(spark))
+    digest = F.lit(vector_codes.codebook_digest(books))
+    return coded.select("vec_id", "code", "error", "label_error", digest.alias("codebooks_sha256"))
