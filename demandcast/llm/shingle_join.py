@@ -3,9 +3,10 @@
 Equal sets are joined first and stand as one. Shingles are put in one order for all sets, rarest
 first. Two sets that are similar enough share one of their first shingles, as many as a set may lack
 of a similar one and one more, so sets are dealt to tiles by those. Within a tile sets are in order
-of size and only bands of sizes that can be similar meet. Each set has a bitmap with one bit for
-every hash value of its shingles: bits that the other lacks bound the overlap from above, and pairs
-that stay below the bound are skipped. A crowded tile is cut into parts, and each pair of parts is a
+of size and only bands of sizes that can be similar meet. Tiles with the same sets in them are one.
+Each set has a bitmap, as wide as its size asks for, with one bit for every hash value of its
+shingles: bits that the other lacks bound the overlap from above, and pairs that stay below the
+bound are skipped. A crowded tile is cut into parts, and each pair of parts is a
 cell of its own. What is left groups the sets; within a group (cut by bytes in the same way) the
 bitmaps are compared again and sorted arrays of shingles are intersected exactly. Everywhere only
 links that join something not yet joined in the cell are kept.
@@ -30,11 +31,12 @@ from demandcast.sources.storage import Storage
 
 SHINGLE = 5
 PERCENT = 80
-#: Bits of a set's bitmap.
-BITS = 512
+#: A bitmap has at least twice as many bits as its set has shingles, within these limits (powers of two).
+LEAST_BITS, MOST_BITS = 64, 1 << 17
 #: Counters of shingles by hash, 4 bytes each, which the driver holds and broadcasts: a fixed size.
 COUNTERS = 1 << 20
 COUNTER_SLICES = 256
+WORDS_AT_ONCE = 1 << 20
 #: Sets in a part of a tile, and bytes of shingles in a part of a group.
 TILE = 2048
 GROUP_BYTES = 16 << 20
@@ -73,21 +75,48 @@ def least_overlap(size, percent: int = PERCENT):
 
 
 def bitmap(shingles: np.ndarray) -> bytes:
-    """One bit for each value of the shingles' top bits."""
-    bits = np.zeros(BITS, dtype=bool)
-    bits[(shingles >> np.uint64(64 - BITS.bit_length() + 1)).astype(np.int64)] = True
+    """One bit for each hash value of the shingles."""
+    width = min(max(LEAST_BITS, 1 << (2 * len(shingles) - 1).bit_length()), MOST_BITS)
+    bits = np.zeros(width, dtype=bool)
+    bits[((shingles >> np.uint64(24)) & np.uint64(width - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
-def as_words(bitmaps: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(bitmaps), dtype="<u8").reshape(-1, BITS // 64)
-
-
-def most_overlap(n_a: np.ndarray, a: np.ndarray, n_b: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Bound from above of the overlap: each bit that the other lacks is a shingle that the other lacks."""
-    only_a = np.bitwise_count(a & ~b).sum(axis=-1, dtype=np.int64)
-    only_b = np.bitwise_count(b & ~a).sum(axis=-1, dtype=np.int64)
-    return np.minimum(n_a - only_a, n_b - only_b)
+class Bitmaps:
+    """Bitmaps of some sets; of a pair, the wider one is folded to the width of the other."""
+
+    def __init__(self, bitmaps: list[bytes], sizes: np.ndarray):
+        self.sizes = sizes
+        self.width = np.array([len(b) for b in bitmaps], dtype=np.int64)
+        self.place = np.zeros(len(bitmaps), dtype=np.int64)
+        self.held: dict[tuple[int, int], np.ndarray] = {}
+        for w in np.unique(self.width).tolist():
+            own = np.flatnonzero(self.width == w)
+            self.place[own] = np.arange(len(own))
+            self.held[w, w] = np.frombuffer(b"".join([bitmaps[n] for n in own]), dtype="<u8").reshape(len(own), w // 8)
+
+    def folded(self, width: int, to: int) -> np.ndarray:
+        if (width, to) not in self.held:
+            wide = self.folded(width, 2 * to)
+            self.held[width, to] = wide[:, : to // 8] | wide[:, to // 8 :]
+        return self.held[width, to]
+
+    def most_overlap(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Bound from above of the overlaps of pairs: each bit that the other lacks is a shingle that the other lacks."""
+        most = np.minimum(self.sizes[a], self.sizes[b])
+        kinds = self.width[a] * (2 * MOST_BITS) + self.width[b]
+        for kind in np.unique(kinds).tolist():
+            wide_a, wide_b = divmod(kind, 2 * MOST_BITS)
+            to, pairs = min(wide_a, wide_b), np.flatnonzero(kinds == kind)
+            left, right = self.folded(wide_a, to), self.folded(wide_b, to)
+            at_once = max(1, WORDS_AT_ONCE // (to // 8))
+            for at in range(0, len(pairs), at_once):
+                some = pairs[at : at + at_once]
+                x, y = left[self.place[a[some]]], right[self.place[b[some]]]
+                only_x = np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64)
+                only_y = np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64)
+                most[some] = np.minimum(self.sizes[a[some]] - only_x, self.sizes[b[some]] - only_y)
+        return most
 
 
 def similar(overlap, n_a, n_b, percent: int = PERCENT):
@@ -200,8 +229,8 @@ def tile_links(tiles: DataFrame, percent: int) -> DataFrame:
             run = np.cumsum(starts_of(held, ["token", "line", "pile"]))
             rows, size, part = (held.column(c).to_numpy() for c in ("row", "size", "part"))
             own = held.column("line").to_numpy() == held.column("pile").to_numpy()
-            bits = as_words(held.column("bits").to_pylist())
-            nodes, node = np.unique(rows, return_inverse=True)
+            nodes, first, node = np.unique(rows, return_index=True, return_inverse=True)
+            bits = Bitmaps(held.column("bits").take(pa.array(first)).to_pylist(), size[first])
             joined, out_a, out_b = Joined(len(nodes)), [], []
             at, step = np.arange(len(rows) - 1), 1
             while len(at := at[at + step < len(rows)]):
@@ -210,7 +239,7 @@ def tile_links(tiles: DataFrame, percent: int) -> DataFrame:
                 at, to = at[band], to[band]
                 fresh = (joined.label[node[at]] != joined.label[node[to]]) & (own[at] | (part[at] != part[to]))
                 a, b = at[fresh], to[fresh]
-                near = similar(most_overlap(size[a], bits[a], size[b], bits[b]), size[a], size[b], percent)
+                near = similar(bits.most_overlap(node[a], node[b]), size[a], size[b], percent)
                 if near.any():
                     a, b = a[near], b[near]
                     out_a.append(rows[a])
@@ -251,15 +280,15 @@ def exact_links(groups: DataFrame, percent: int) -> DataFrame:
             for first, end in zip(starts, np.append(starts[1:], len(rows))):
                 crossing = line[first] != pile[first]
                 joined = Joined(end - first)
-                bits = as_words([bitmap(s) for s in sets[first:end]])
                 own, own_part = size[first:end], part[first:end]
+                bits = Bitmaps([bitmap(s) for s in sets[first:end]], own)
                 for i in range(end - first - 1):
                     upto = i + 1 + int(np.searchsorted(percent * own[i + 1 :], 100 * own[i], side="right"))
                     open_ = joined.label[i + 1 : upto] != joined.label[i]
                     if crossing:
                         open_ &= own_part[i + 1 : upto] != own_part[i]
                     to = i + 1 + np.flatnonzero(open_)
-                    to = to[similar(most_overlap(own[i], bits[i], own[to], bits[to]), own[i], own[to], percent)]
+                    to = to[similar(bits.most_overlap(np.full(len(to), i), to), own[i], own[to], percent)]
                     for j in to.tolist():
                         if joined.label[i] == joined.label[j]:
                             continue
@@ -291,8 +320,11 @@ def jaccard_groups(docs: DataFrame, store: Storage, shingle: int = SHINGLE, perc
     counts = shingle_counts(rows)
     first = store.table("first", first_shingles(rows, counts, percent).join(sets.select("row"), "row", "left_semi"))
     tokens = first.select("row", "size", F.explode("tokens").alias("token"))
-    held = tokens.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
-    shared = store.table("shared", held.select("token", F.ceil(F.col("held") / TILE).cast("int").alias("parts")))
+    # tiles of the same sets are one: the sets of a tile are told by two 64-bit sums of their hashes
+    marks = [F.bit_xor(F.xxhash64("row", F.lit(n))).alias(f"mark{n}") for n in (1, 2)]
+    held = tokens.groupBy("token").agg(F.count("*").alias("held"), *marks).where("held > 1")
+    shared = held.groupBy("held", "mark1", "mark2").agg(F.min("token").alias("token"))
+    shared = store.table("shared", shared.select("token", F.ceil(F.col("held") / TILE).cast("int").alias("parts")))
     hits = tokens.join(shared, "token").join(first.select("row", "bits"), "row")
     links = store.table("links", tile_links(hits.select("token", "parts", "row", "size", "bits"), percent).distinct())
 
