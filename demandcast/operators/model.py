@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from demandcast.config import SKU, ForecastConfig
 from demandcast.functions.numeric import is_finite, safe_div
+from demandcast.operators.boosting import Boosted, BoostParams, fit_boosted, predict_boosted
 from demandcast.operators.features import (
     FEATURES,
     add_calendar,
@@ -26,6 +27,7 @@ from demandcast.operators.features import (
 )
 from demandcast.operators.recursion import Predictor
 from demandcast.operators.seasonality import seasonal_columns
+from demandcast.sources.storage import Storage
 
 KEYS = list(SKU)
 
@@ -186,6 +188,46 @@ def tree_predictor(models: Mapping[date, PipelineModel | None]) -> Predictor:
     return state_predictor(lambda week: models.get(model_month(week)))
 
 
+def fit_regularised(
+    rows: DataFrame,
+    cutoff: date,
+    lams: Sequence[float],
+    storage: Storage,
+    cfg: ForecastConfig = ForecastConfig(),
+    params: BoostParams = BoostParams(),
+    features: Sequence[str] = FEATURES,
+) -> Boosted:
+    """One regularised model per lambda, all grown on one scan a level (see ``boosting``); slots are in the order of ``lams``."""
+    inputs = ["lag_52w_filled" if c == "lag_52w" else c for c in features]
+    known = fill_lag_52w(train_rows(rows, features))
+    weights = [recency_weight(cutoff, lam, cfg) for lam in lams]
+    known = known.withColumns({f"_lam{i}": w for i, w in enumerate(weights)})
+    return fit_boosted(known, inputs, F.log1p("weekly_total"), [F.col(f"_lam{i}") for i in range(len(lams))], storage, params)
+
+
+def predict_regularised(model: Boosted, rows: DataFrame, slot: int = 0, features: Sequence[str] = FEATURES, name: str = "pred_model") -> DataFrame:
+    """Add the model on the original scale as ``name``, 0 for rows that lack a feature."""
+    scored = predict_boosted(model, fill_lag_52w(rows), slot, "_log")
+    value = F.greatest(F.expm1("_log"), F.lit(0.0))
+    return scored.withColumn(name, F.when(is_scorable(features), value).otherwise(F.lit(0.0))).drop("_log", "lag_52w_filled")
+
+
+def regularised_lambda_scores(
+    rows: DataFrame, as_of: date, storage: Storage, cfg: ForecastConfig = ForecastConfig(), params: BoostParams = BoostParams(), holdout: bool = False
+) -> DataFrame:
+    """WAPE over the last 52 weeks of each candidate lambda, as ``lambda_scores``, from one fit of all candidates."""
+    lams = cfg.recency_candidates
+    first = as_of - timedelta(weeks=cfg.tuning_weeks)
+    model = fit_regularised(rows.where(F.col("week_start") < F.lit(first if holdout else as_of)), as_of, lams, storage, cfg, params)
+    scored = rows.where(F.col("week_start").between(F.lit(first), F.lit(as_of - timedelta(days=1))))
+    for i in range(len(lams)):
+        scored = predict_regularised(model, scored, i, name=f"_p{i}")
+    actual = F.greatest("weekly_total", F.lit(0.0))
+    sums = scored.agg(F.sum(actual).alias("sold"), *[F.sum(F.abs(actual - F.col(f"_p{i}"))).alias(f"e_{i}") for i in range(len(lams))])
+    pairs = [F.struct(F.lit(lam).alias("lam"), safe_div(F.col(f"e_{i}"), F.col("sold"), None).alias("wape")) for i, lam in enumerate(lams)]
+    return sums.select(F.inline(F.array(*pairs)))
+
+
 def lambda_scores(
     rows: DataFrame, as_of: date, cfg: ForecastConfig = ForecastConfig(), holdout: bool = False
 ) -> DataFrame:
