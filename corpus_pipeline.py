@@ -14,14 +14,6 @@ from demandcast.llm import exact_dedup, mixing, packing, quality, simhash
 from demandcast.llm.common import read_table
 from demandcast.sources.storage import Storage
 
-#: Near duplicates here: sets of five-word shingles with an exact similarity of 0.8 or more. Fingerprints only find
-#: candidates: texts of similarity J differ in about acos(2J / (1 + J)) / pi of their bits, 38.9 of 256 (standard deviation
-#: 5.7) at 0.8, and 48 (6.2) where 4 of 5 shingles are all there is; unlike texts in 128 (8). A radius of 76 misses no
-#: pair in 100,000 even then.
-NEAR_SHINGLE = 5
-NEAR_SEEDS = (42, 43, 44, 45)
-NEAR_RADIUS = 76
-NEAR_SIMILARITY = 0.8
 #: Sources in code point order weigh so in turn; together they take all words once.
 SOURCE_WEIGHTS = [3, 1, 2]
 SOURCE_SHARE = 1.5
@@ -41,10 +33,8 @@ def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies, that of the smallest doc_id."""
-    return simhash.drop_near_duplicates(
-        docs, Storage(spark), shingle=NEAR_SHINGLE, seeds=NEAR_SEEDS, radius=NEAR_RADIUS, similarity=NEAR_SIMILARITY
-    )
+    """One row of each group of near copies, that of the smallest doc_id: 64 bits over three-word shingles within two bits."""
+    return simhash.drop_near_duplicates(docs, Storage(spark))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
