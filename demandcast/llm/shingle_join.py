@@ -37,11 +37,13 @@ LEAST_BITS, MOST_BITS = 64, 1 << 17
 COUNTERS = 1 << 20
 COUNTER_SLICES = 256
 WORDS_AT_ONCE = 1 << 20
+#: Texts that a task holds cut into shingles at a time.
+TEXTS_AT_ONCE = 500
 #: Sets in a part of a tile, and bytes of shingles in a part of a group.
 TILE = 2048
 GROUP_BYTES = 16 << 20
-#: Candidate sets that are broadcast at most (16 bytes each); more are joined by a shuffle.
-BROADCAST_SETS = 1_000_000
+#: Rows of two or three numbers that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 # fixed values: odd multipliers of a shingle's word hashes, and of the final mix
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
@@ -148,12 +150,18 @@ class Joined:
                 self.label = further
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            yield batch.slice(at, TEXTS_AT_ONCE)
+
+
 def shingle_rows(docs: DataFrame, shingle: int) -> DataFrame:
     """(row, doc_id, size, set_id, shingles) of every row: equal sets have equal 16-byte ids."""
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("size", pa.int64()), ("set_id", pa.binary()), ("shingles", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _small(batches):
             found = [shingle_array(t, shingle) for t in batch.column(2).to_pylist()]
             held = [f.tobytes() for f in found]
             ids = [hashlib.blake2b(h, digest_size=16).digest() for h in held]
@@ -172,7 +180,7 @@ def shingle_counts(rows: DataFrame) -> np.ndarray:
 
     def count(batches):
         held = np.zeros(COUNTERS, dtype=np.uint32)
-        for batch in batches:
+        for batch in _small(batches):
             flat = np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype="<u8")
             held += np.bincount((flat & np.uint64(COUNTERS - 1)).astype(np.int64), minlength=COUNTERS).astype(np.uint32)
         slices = [held[n * width : (n + 1) * width].tobytes() for n in range(COUNTER_SLICES)]
@@ -201,7 +209,7 @@ def first_shingles(rows: DataFrame, counts: np.ndarray, percent: int) -> DataFra
 
     def run(batches):
         counts = shared.value
-        for batch in batches:
+        for batch in _small(batches):
             bits, tokens, sizes = [], [], batch.column(1).to_pylist()
             for held, size in zip(batch.column(2).to_pylist(), sizes):
                 own = np.frombuffer(held, dtype="<u8")
@@ -302,6 +310,11 @@ def exact_links(groups: DataFrame, percent: int) -> DataFrame:
     return cells.mapInArrow(compare, "a long, b long")
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """A stored table, to be broadcast if its row count is within the limit."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def jaccard_groups(docs: DataFrame, store: Storage, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Every row of ``docs`` with doc_id, n_shingles (size of its set) and component_id.
 
@@ -313,19 +326,18 @@ def jaccard_groups(docs: DataFrame, store: Storage, shingle: int = SHINGLE, perc
     if not 1 <= percent <= 100:
         raise ValueError("percent must be from 1 to 100")
     store = own_store(store)
-    n = partitions(docs.sparkSession)
     rows = store.table("rows", shingle_rows(docs, shingle))
     sets = store.table("sets", rows.where("size > 0").groupBy("set_id").agg(F.min("row").alias("row"), F.min("doc_id").alias("lowest")))
 
     counts = shingle_counts(rows)
-    first = store.table("first", first_shingles(rows, counts, percent).join(sets.select("row"), "row", "left_semi"))
-    tokens = first.select("row", "size", F.explode("tokens").alias("token"))
+    first = store.table("first", first_shingles(rows, counts, percent).join(_few(sets.select("row")), "row", "left_semi"))
+    tokens = first.select("row", F.explode("tokens").alias("token"))
     # tiles of the same sets are one: the sets of a tile are told by two 64-bit sums of their hashes
     marks = [F.bit_xor(F.xxhash64("row", F.lit(n))).alias(f"mark{n}") for n in (1, 2)]
     held = tokens.groupBy("token").agg(F.count("*").alias("held"), *marks).where("held > 1")
     shared = held.groupBy("held", "mark1", "mark2").agg(F.min("token").alias("token"))
     shared = store.table("shared", shared.select("token", F.ceil(F.col("held") / TILE).cast("int").alias("parts")))
-    hits = tokens.join(shared, "token").join(first.select("row", "bits"), "row")
+    hits = tokens.join(_few(shared), "token").join(first.select("row", "size", "bits"), "row")
     links = store.table("links", tile_links(hits.select("token", "parts", "row", "size", "bits"), percent).distinct())
 
     linked = smallest_linked(links, own_store(store)).select(F.col("node").alias("row"), "root")
@@ -334,9 +346,7 @@ def jaccard_groups(docs: DataFrame, store: Storage, shingle: int = SHINGLE, perc
     parts = F.ceil(F.sum("size") * 8 / GROUP_BYTES).cast("int")
     large = store.table("large", sized.groupBy("root").agg(parts.alias("parts")).where("parts > 1"))
     near = lookup_join(near, large, ["root"], ["row"], max_rows=large.count()).withColumn("parts", F.coalesce("parts", F.lit(1)))
-    if near.count() <= BROADCAST_SETS:
-        near = F.broadcast(near)
-    groups = rows.select("row", "size", "shingles").join(near, "row")
+    groups = rows.select("row", "size", "shingles").join(_few(near), "row")
     exact = store.table("exact", exact_links(groups, percent))
 
     roots = store.table("roots", smallest_linked(exact, own_store(store)).withColumnRenamed("node", "row"))
