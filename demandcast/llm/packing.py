@@ -2,17 +2,19 @@
 
 Documents are cut into pieces of at most ``capacity`` tokens. Only the number of pieces of each
 length matters for packing them, so the program has one constraint per length, however many
-documents there are. A configuration is a set of lengths that fit in one sequence. It is priced by
-a knapsack dynamic program under the lengths' weights and used until one of its lengths runs out;
-the weights of lengths that it covers shrink multiplicatively, those of lengths left behind grow
-relative to them. The fractional counts are rounded down, and the few pieces that this leaves are
-placed by best fit. Pieces are then numbered within their length, and a lookup in the table of
-configurations gives each its sequence and place.
+documents there are. A configuration is a set of lengths that fit in one sequence. In each phase a
+knapsack dynamic program prices configurations under the lengths' weights; for every length the best
+one that holds it is used a little if it is near the best of all, and the weights of lengths fall
+exponentially with how far they are covered. When all lengths are covered a round ends; the next
+starts from the weights of the best dual bound so far, with finer steps. It ends within a stated gap
+to that bound or after a stated amount of work. The fractional counts are rounded down, and the
+pieces that this leaves are placed by best fit. Pieces are then numbered within their length, and a
+lookup in the table of configurations gives each its sequence and place.
 """
 
 from __future__ import annotations
 
-import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,81 +31,106 @@ CAPACITY = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: How far the number of sequences of a fractional solution may be above the bound, as a share of the bound.
 GAP = 0.01
-#: Share of the best bound's weights in those that are priced first.
-CENTER = 0.8
-TEXTS_AT_ONCE = 1_000
-
-
-def price(weights: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of largest weight: length -> copies, by unbounded knapsack."""
-    best = np.zeros(capacity + 1)
-    pick = np.zeros(capacity + 1, dtype=np.int64)
-    fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
-    for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
-        k = fitting[c]
-        if k:
+#: Phases a length, and phases times lengths, at most. What is not solved to the gap by then is rounded like any other solution.
+PHASES, WORK = 25, 800_000
+#: How fast weights fall with coverage in the first round, what one phase changes in their exponent, and growth by round.
+RATE, CHANGE, FASTER = 60.0, 0.5, 1.6
+#: Phases between two looks at the bound of the mean weights.
+LOOK = 20
+#: Shares of the program's solution that are tried.
+SHARES = (1.0, 0.75, 0.5, 0.25)
+TEXTS_AT_ONCE = 2_000
+
+
+class Knapsack:
+    """Configurations of largest weight for every room up to ``capacity``, by unbounded knapsack."""
+
+    def __init__(self, weights: np.ndarray, lengths: np.ndarray, capacity: int):
+        self.lengths, self.capacity = lengths, capacity
+        self.best = best = np.zeros(capacity + 1)
+        self.pick = np.full(capacity + 1, -1, dtype=np.int64)
+        fitting = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
+        for c in range(int(lengths[0]), capacity + 1):
+            k = fitting[c]
             value = weights[:k] + best[c - lengths[:k]]
             at = int(value.argmax())
+            best[c] = best[c - 1]
             if value[at] > best[c]:
-                best[c], pick[c] = value[at], lengths[at]
-    found: dict[int, int] = {}
-    c = capacity
-    while c > 0:
-        if pick[c] == 0:
-            c -= 1
-            continue
-        found[int(pick[c])] = found.get(int(pick[c]), 0) + 1
-        c -= int(pick[c])
-    return found
+                best[c], self.pick[c] = value[at], at
 
+    def trace(self, room: int) -> Counter[int]:
+        """Places of the lengths in the best configuration for this room."""
+        found: Counter[int] = Counter()
+        while room > 0:
+            at = int(self.pick[room])
+            if at < 0:
+                room -= 1
+                continue
+            found[at] += 1
+            room -= int(self.lengths[at])
+        return found
 
-def solve_program(demand: dict[int, int], capacity: int, gap: float = GAP) -> tuple[list[tuple[dict[int, int], float]], float]:
-    """Fractional solution, configurations and how often each is used, and a lower bound of any solution.
 
-    The solution uses at most 1 + ``gap`` times as many sequences as the bound.
+def price(weights: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
+    """The configuration of largest weight: length -> copies."""
+    return {int(lengths[i]): k for i, k in Knapsack(weights, lengths, capacity).trace(capacity).items()}
+
+
+def solve_program(
+    demand: dict[int, int], capacity: int, gap: float = GAP, work: int = WORK
+) -> tuple[list[tuple[dict[int, int], float]], float]:
+    """Fractional solution by multiplicative weights, configurations and how often each is used, and a lower bound of any solution.
+
+    The solution covers the demand. It uses at most 1 + ``gap`` times as many sequences as the bound, or is the best that
+    ``PHASES`` phases a length or ``work`` phases times lengths have found.
     """
     lengths = np.array(sorted(demand), dtype=np.int64)
     need = np.array([demand[n] for n in lengths.tolist()], dtype=float)
     bound = float(lengths @ need) / capacity
     if not len(lengths):
         return [], 0.0
-    place = {n: i for i, n in enumerate(lengths.tolist())}
-    # a little more of each length, none the same, so that no two configurations run out at once
-    wanted = need * (1 + gap / 10 * np.linspace(0.5, 1, len(need)))
-    basis = [{n: capacity // n} for n in lengths.tolist()]
-    copies = (capacity // lengths).astype(float)
-    inverse, used = np.diag(1 / copies), wanted / copies
-    # weights are priced between those of the best bound and the present ones, which are far off at first
-    center = lengths / capacity
-    while True:
-        weights, share = inverse.sum(axis=0), CENTER
-        while True:
-            priced = share * center + (1 - share) * weights
-            parts = price(priced, lengths, capacity)
-            value = max(sum(k * priced[place[n]] for n, k in parts.items()), 1e-12)
-            if float(priced @ need) / value > bound:
-                bound, center = float(priced @ need) / value, priced / value
-            worth = sum(k * weights[place[n]] for n, k in parts.items())
-            if worth > 1 + 1e-9 or share == 0 or used.sum() <= (1 + gap) * bound:
+    # one configuration per length covers everything, if badly
+    solution = {((i, int(capacity // n)),): need[i] / (capacity // n) for i, n in enumerate(lengths)}
+    fewest = sum(solution.values())
+    phases, rate, prior, dual = max(1, min(PHASES * len(lengths), work // len(lengths))), RATE, lengths / capacity, lengths / capacity
+    done = 0
+    while done < phases and fewest > (1 + gap) * bound:
+        covered, used, mean, step = np.zeros(len(need)), {}, np.zeros(len(need)), CHANGE / rate
+        low = 0.0
+        while done < phases and low < 1 - 1e-9:
+            done += 1
+            weights = np.where(covered < need * (1 + 1e-12), prior * np.exp(-rate * (covered / need - low)), 0)
+            weights /= weights @ need
+            priced = Knapsack(weights, lengths, capacity)
+            value = priced.best[-1]
+            if 1 / value > bound:
+                bound, dual = 1 / value, weights
+            mean += weights
+            if done % LOOK == 0:
+                most = float(mean @ need) / Knapsack(mean, lengths, capacity).best[-1]
+                if most > bound:
+                    bound, dual = most, mean / (mean @ need)
+            grown = np.zeros(len(need))
+            near = weights + priced.best[capacity - lengths] >= (1 - CHANGE / 4) * value
+            for n in np.argsort(covered / need):
+                if not near[n] or not weights[n] or grown[n] >= 0.99 * step:
+                    continue
+                parts = priced.trace(capacity - int(lengths[n]))
+                parts[int(n)] += 1
+                times = min((step - grown[i]) * need[i] / k for i, k in parts.items())
+                if times > 0:
+                    key = tuple(sorted(parts.items()))
+                    used[key] = used.get(key, 0.0) + times
+                    for i, k in parts.items():
+                        covered[i] += times * k
+                        grown[i] += times * k / need[i]
+            low = float((covered / need).min())
+            if done % LOOK == 0 and low > 0 and sum(used.values()) / low <= (1 + gap) * bound:
                 break
-            share = share / 2 if share > 0.1 else 0.0
-        if used.sum() <= (1 + gap) * bound or worth <= 1 + 1e-9:
-            return [(c, float(x)) for c, x in zip(basis, used) if x > 0], bound
-        column = np.zeros(len(lengths))
-        for n, k in parts.items():
-            column[place[n]] = k
-        change = inverse @ column
-        falls = change > 1e-9
-        ratios = np.full(len(lengths), np.inf)
-        ratios[falls] = used[falls] / change[falls]
-        out = int(ratios.argmin())
-        step = ratios[out]
-        used = np.maximum(used - step * change, 0.0)
-        used[out], basis[out] = step, parts
-        row = inverse[out] / change[out]
-        inverse -= np.outer(change, row)
-        inverse[out] = row
+        if low > 0 and sum(used.values()) / low < fewest:
+            fewest, solution = sum(used.values()) / low, {c: x / low for c, x in used.items()}
+        prior, rate = dual, rate * FASTER
+    return [({int(lengths[i]): k for i, k in c}, float(x)) for c, x in solution.items()], bound
 
 
 def best_fit(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
@@ -135,25 +162,38 @@ def best_fit(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
     return [some for held in room for some in held]
 
 
+def round_down(solution: list[tuple[dict[int, int], float]], demand: dict[int, int], share: float) -> list[tuple[dict[int, int], int]]:
+    """Whole counts of the most used configurations, ``share`` of the solution, within the demand."""
+    left, found = dict(demand), []
+    for parts, times in sorted(solution, key=lambda x: -x[1]):
+        whole = min(int(share * times + 1e-6), *(left[n] // k for n, k in parts.items()))
+        if whole:
+            found.append((parts, whole))
+            for n, k in parts.items():
+                left[n] -= k * whole
+    return found
+
+
 def plan(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Configurations with whole counts that hold exactly the demand: the rounded program's or best fit's, whichever are fewer."""
+    """Configurations with whole counts that hold exactly the demand.
+
+    The program's solution is rounded down and best fit places what that leaves. Rounding many small counts leaves awkward
+    remainders, so smaller shares of the solution are tried until a plan is no worse than best fit alone; else that is taken.
+    """
     full = demand.get(capacity, 0)
     found: list[tuple[dict[int, int], int]] = [({capacity: 1}, full)] if full else []
-    left = {n: k for n, k in demand.items() if n < capacity and k}
-    plain = best_fit(left, capacity)
-    fewest = sum(times for _, times in plain)
-    bound = sum(n * k for n, k in left.items()) / capacity
-    if fewest <= max((1 + GAP) * bound, math.ceil(bound)):
-        return found + plain
-    rounded: list[tuple[dict[int, int], int]] = []
-    for parts, times in solve_program(left, capacity)[0]:
-        whole = min(int(times + 1e-6), *(left[n] // k for n, k in parts.items()))
-        if whole:
-            rounded.append((parts, whole))
+    wanted = {n: k for n, k in demand.items() if n < capacity and k}
+    solution, _ = solve_program(wanted, capacity)
+    plain = best_fit(wanted, capacity)
+    for share in SHARES:
+        rounded, left = round_down(solution, wanted, share), dict(wanted)
+        for parts, times in rounded:
             for n, k in parts.items():
-                left[n] -= k * whole
-    rounded += best_fit({n: k for n, k in left.items() if k}, capacity)
-    return found + (rounded if sum(times for _, times in rounded) < fewest else plain)
+                left[n] -= k * times
+        rounded += best_fit({n: k for n, k in left.items() if k}, capacity)
+        if sum(times for _, times in rounded) <= sum(times for _, times in plain):
+            return found + rounded
+    return found + plain
 
 
 @dataclass
@@ -210,7 +250,10 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, spac
                     found += tail
                     for piece, first in enumerate(range(0, len(found), 4 * capacity)):
                         own = found[first : first + 4 * capacity]
-                        short = np.frombuffer(own, dtype="<u4").astype("<u2").tobytes()
+                        long = np.frombuffer(own, dtype="<u4")
+                        if long.max() > 0xFFFF:
+                            raise ValueError(f"{tokenizer} has ids beyond 65,535")
+                        short = long.astype("<u2").tobytes()
                         out.append((row, doc_id, piece, first // 4, len(own) // 4, short, zlib.crc32(own)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(c), t) for c, t in zip(zip(*out), schema.types)], schema=schema

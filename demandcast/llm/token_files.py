@@ -32,7 +32,7 @@ from demandcast.llm.tokens import encoder, vocabulary_size
 MAGIC = b"TOKBITS1"
 TRAILER = struct.Struct("<8sIIQQQ")
 BLOCK = 1 << 16
-TEXTS_AT_ONCE = 1_000
+TEXTS_AT_ONCE = 2_000
 ROWS_OUT = 20_000
 MANIFEST = "file string, part int, documents long, ids long"
 

@@ -3,11 +3,12 @@ import hashlib
 import numpy as np
 
 import corpus_pipeline as cp
-from demandcast.llm import quality, simhash
+from demandcast.llm import quality
 from demandcast.llm.common import read_table
 from tests.llm.conftest import AWKWARD
 from tests.llm.test_mixing import by_hand
 from tests.llm.test_packing import check
+from tests.llm.test_simhash import by_hand as simhash_by_hand
 from tests.llm.test_simhash import components
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -21,8 +22,8 @@ def test_against_a_plain_version(spark):
     held = [d for d, s in zip(held, model.score(quality.features_of([t for _, t, _ in held]))) if s >= 0.3]
     last = {hashlib.sha256(t.encode()).digest(): max(i for i, x, _ in held if x == t) for _, t, _ in held}
     held = [d for d in held if last[hashlib.sha256(d[1].encode()).digest()] == d[0]]
-    prints = [simhash.fingerprint(t, cp.NEAR_SHINGLE, cp.NEAR_SEEDS).hex() for _, t, _ in held]
-    held = [d for d, c in zip(held, components(prints, [i for i, _, _ in held], cp.NEAR_RADIUS)) if c == d[0]]
+    prints = [simhash_by_hand(t) for _, t, _ in held]
+    held = [d for d, c in zip(held, components(prints, [i for i, _, _ in held], 2)) if c == d[0]]
     _, _, size, taken = by_hand(held, cp.SOURCE_WEIGHTS, cp.SOURCE_SHARE)
     mixed = [(i, t) for (i, t, _), s, k in zip(held, size, taken) if s for _ in range(k // s)]
     check(rows, mixed)
@@ -36,18 +37,3 @@ def test_stages_keep_the_columns_of_awkward_rows(awkward, no_docs, spark):
             out = stage(spark, docs, SF_DIR)
             assert out.columns == docs.columns, name
             assert out.count() <= 2 * len(AWKWARD)
-
-
-def test_near_copies_by_exact_similarity(spark):
-    """The near stage of ``documents`` against Jaccard similarities of all pairs."""
-    docs = read_table(spark, SF_DIR, "documents")
-    kept = sorted(r.doc_id for r in cp.drop_near(spark, docs, SF_DIR).collect())
-    texts = {d.doc_id: d.text or "" for d in docs.collect()}
-    held = [(i, simhash.shingle_set(texts[i], cp.NEAR_SHINGLE)) for i in sorted(texts)]
-    group = list(range(len(held)))
-    for i in range(len(held)):
-        for j in range(i):
-            if group[i] != group[j] and simhash.jaccard(held[i][1], held[j][1]) >= cp.NEAR_SIMILARITY:
-                group = [group[j] if g == group[i] else g for g in group]
-    first = {g: held[n][0] for n, g in reversed(list(enumerate(group)))}
-    assert kept == sorted(first.values())
